@@ -45,7 +45,8 @@ def heavy_keys(df: DataFrame, key: str, rows_per_cell: int = ROWS_PER_CELL) -> D
         .agg(F.expr(f"approx_top_k_accumulate(`{key}`, {TRACKED_KEYS})").alias("sketch"))
     )
     return (
-        sketches.agg(F.expr(f"approx_top_k_combine(sketch, {TRACKED_KEYS})").alias("sketch"))
+        sketches.groupBy(F.lit(0).alias("all"))  # grouped, because an empty task cannot combine nothing
+        .agg(F.expr(f"approx_top_k_combine(sketch, {TRACKED_KEYS})").alias("sketch"))
         .select(F.expr(f"inline(approx_top_k_estimate(sketch, {MAX_HEAVY_KEYS}))"))
         .where(F.col("count") > rows_per_cell)
         .select(F.col("item").alias(key), F.ceil(F.col("count") / rows_per_cell).cast("int").alias("cells"))
