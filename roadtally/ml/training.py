@@ -63,24 +63,26 @@ def encoder_stages() -> list:
     ]
 
 
-def _labelled(groups: DataFrame, classes: list[str]) -> DataFrame:
-    position = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(TARGET))
-    return groups.withColumn("label", (position - 1).cast("double"))
-
-
 def fit(groups: DataFrame, classes: list[str]) -> PipelineModel:
     """Class-balanced multinomial logistic regression on the training counts of split groups.
 
     A group of n equal rows is one row of weight n, which leaves the objective unchanged. Spark averages the
-    loss over the weights, so the penalty 1/(2C) of a summed loss becomes 1/(C * sum of weights).
+    loss over the weights, so the penalty 1/(2C) of a summed loss becomes 1/(C * sum of weights); balanced
+    weights sum to the number of rows.
     """
-    weights = F.broadcast(class_weights(groups).select(TARGET, "weight"))  # a row per severity class
-    weighted = _labelled(groups.where("n_train > 0"), classes).join(weights, TARGET)
-    weighted = weighted.withColumn("row_weight", F.col("n_train") * F.col("weight"))
-    total = weighted.agg(F.sum("row_weight")).first()[0]
+    balanced = {r[TARGET]: r for r in class_weights(groups).collect()}  # a row per severity class
+    rows = sum(r["n"] for r in balanced.values())
+    label, weight = F.lit(None).cast("double"), F.lit(0.0)
+    for position, name in enumerate(classes):
+        is_class = F.col(TARGET) == name
+        label = F.when(is_class, F.lit(float(position))).otherwise(label)
+        weight = F.when(is_class, F.lit(balanced[name]["weight"] if name in balanced else 0.0)).otherwise(weight)
+    weighted = groups.where("n_train > 0").select(
+        *FEATURES, label.alias("label"), (F.col("n_train") * weight).alias("row_weight")
+    )
     classifier = LogisticRegression(
         weightCol="row_weight",
-        regParam=1.0 / (C * total),
+        regParam=1.0 / (C * rows),
         elasticNetParam=0.0,
         standardization=False,
         maxIter=MAX_ITER,

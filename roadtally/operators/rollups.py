@@ -32,18 +32,20 @@ class RollupSpec:
         fields = [f"{k} {t}" for k, t in self.keys.items()] + [f"{m} bigint" for m in self.measures]
         return ", ".join([*fields, f"{STAMP} timestamp_ntz"])
 
-    def contributions(self, events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-        """One row per event that has every key; ``by`` columns are carried along."""
-        return events.select(*by, *self.contribution()).dropna(how="any", subset=list(self.keys))
-
     def rejected(self, events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         """The events that lack a key and so count in no cell."""
         missing = F.exists(F.array(*[F.col(k).isNull() for k in self.keys]), lambda m: m)
         return events.select(*by, *self.contribution()).where(missing)
 
     def aggregate(self, events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-        """Sum the contributions per key: one partial pass in the scan tasks, one shuffle of the groups."""
-        return self.contributions(events, by).groupBy(*by, *self.keys).agg(*self.sums())
+        """Sum the contributions per key: one partial pass in the scan tasks, one shuffle of the groups.
+
+        Groups lacking a key are dropped by an aggregated flag. A plain filter on the keys would be pushed below
+        the projection and make every row parse its text, or its whole message, a second time.
+        """
+        complete = F.expr("min(" + " and ".join(f"{k} is not null" for k in self.keys) + ")")
+        grouped = events.select(*by, *self.contribution()).groupBy(*by, *self.keys)
+        return grouped.agg(*self.sums(), complete.alias("complete")).where("complete").drop("complete")
 
     def sums(self) -> list[Column]:
         return [F.sum(m).cast("bigint").alias(m) for m in self.measures]

@@ -30,19 +30,17 @@ def encode(rows: DataFrame, stream: str, ingest_time: Column | None = None, seq:
 def decode(messages: DataFrame, stream: str, columns: Iterable[str] | None = None) -> DataFrame:
     """Messages as events with snake-case payload columns.
 
-    ``columns`` narrows the parsed payload to what a job needs. Undecodable text yields null columns.
+    ``columns`` narrows the parsed payload to what a job needs. Undecodable text yields null columns. The parse
+    sits in a generator, so that later filters are not pushed below it and no message is parsed twice.
     """
     names = wire_names(stream)
     wanted = {c: names[c] for c in (names if columns is None else columns)}
-    parsed = messages.select(
-        F.from_json(F.col("value").cast("string"), envelope_schema(strings(wanted.values()))).alias("e"),
-        F.col("timestamp").alias("kafka_ts"),
-    )
-    return parsed.select(
-        F.col("e.seq").alias("seq"),
-        F.col("e.stream").alias("stream"),
-        *[F.col("e.payload").getField(wire).alias(column) for column, wire in wanted.items()],
-        F.col("e.event_time").alias("event_time_str"),
+    event = F.from_json(F.col("value").cast("string"), envelope_schema(strings(wanted.values())))
+    return messages.select(F.inline(F.array(event)), F.col("timestamp").alias("kafka_ts")).select(
+        "seq",
+        "stream",
+        *[F.col("payload").getField(wire).alias(column) for column, wire in wanted.items()],
+        F.col("event_time").alias("event_time_str"),
         "kafka_ts",
         F.current_timestamp().alias("processing_time"),
     )

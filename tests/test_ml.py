@@ -130,6 +130,7 @@ def test_score_and_versions(spark, model, tmp_path):
         [(1, AGES[0], "Male", "Bus"), (2, "new", "new", "new"), (3, None, None, None)], "id int, age_band_of_driver string, sex_of_driver string, vehicle_type string"
     )
     scored = {r["id"]: r for r in score(rows, pipeline, metadata).collect()}
+    assert scored == {r["id"]: r for r in score(rows, pipeline, metadata, max_cases=1).collect()}  # by table or by row
     first = scored[1]
     assert first["predicted_severity"] == "Fatal" == first["ranked"][0]["class"] == max(first["probabilities"], key=first["probabilities"].get)
     assert sum(first["probabilities"].values()) == pytest.approx(1)

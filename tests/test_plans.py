@@ -9,7 +9,10 @@ from __spark_entry__ import queries
 from roadtally.operators.rollups import GEO, ROLLUPS, STAMP
 from roadtally.plans.serving import serve, snapshot, snapshot_parts
 from roadtally.operators.reports import render
+from roadtally.schemas import MESSAGE_SCHEMA
 from roadtally.sources import fixtures
+from roadtally.sources.envelope import decode
+from roadtally.sources.files import extract
 
 # Queries that run jobs while they are built (streams, fits, numbering) are judged by their parts.
 LAZY = [
@@ -56,6 +59,14 @@ def test_rollup_scans_read_only_their_columns(spark, sf_dir):
     assert "l_extendedprice" not in profile and "p_name" not in profile
 
 
+def test_a_message_is_parsed_once(spark):
+    """However many columns and filters a job has, its plan holds one parse."""
+    messages = spark.createDataFrame([], MESSAGE_SCHEMA)
+    for spec in ROLLUPS.values():
+        assert plan(spec.aggregate(decode(messages, spec.stream, spec.inputs))).count("from_json(") == 1
+    assert plan(extract(decode(messages, "vehicles"), "vehicles")).count("from_json(") == 1
+
+
 def test_top_k_needs_no_full_sort(spark, sf_dir):
     assert "TakeOrderedAndProject" in plan(queries()["top_districts"](spark, sf_dir))
     assert "TakeOrderedAndProject" in plan(queries()["latest_kpi_geo"](spark, sf_dir))
