@@ -17,13 +17,17 @@ STAMP = "inserted_at"
 
 @dataclass(frozen=True)
 class RollupSpec:
-    """An additive rollup: typed keys, bigint measures and what one event adds to them."""
+    """An additive rollup: typed keys, bigint measures and what one event adds to them.
+
+    ``period`` groups keys for storage: stored rows are rewritten by whole periods.
+    """
 
     name: str
     stream: str
     inputs: tuple[str, ...]
     keys: dict[str, str]
     measures: tuple[str, ...]
+    period: str
     contribution: Callable[[], list[Column]]
 
     @property
@@ -37,15 +41,22 @@ class RollupSpec:
         missing = F.exists(F.array(*[F.col(k).isNull() for k in self.keys]), lambda m: m)
         return events.select(*by, *self.contribution()).where(missing)
 
-    def aggregate(self, events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-        """Sum the contributions per key: one partial pass in the scan tasks, one shuffle of the groups.
+    def contributions(self, events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+        """Typed keys and measures of every event, narrow enough to shuffle; ``by`` columns are carried along."""
+        return events.select(*by, *self.contribution())
+
+    def total(self, contributions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+        """Sum contributions per key: one partial pass in the scan tasks, one shuffle of the groups.
 
         Groups lacking a key are dropped by an aggregated flag. A plain filter on the keys would be pushed below
-        the projection and make every row parse its text, or its whole message, a second time.
+        the projection and make every row parse its text a second time.
         """
         complete = F.expr("min(" + " and ".join(f"{k} is not null" for k in self.keys) + ")")
-        grouped = events.select(*by, *self.contribution()).groupBy(*by, *self.keys)
-        return grouped.agg(*self.sums(), complete.alias("complete")).where("complete").drop("complete")
+        grouped = contributions.groupBy(*by, *self.keys).agg(*self.sums(), complete.alias("complete"))
+        return grouped.where("complete").drop("complete")
+
+    def aggregate(self, events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+        return self.total(self.contributions(events, by), by)
 
     def sums(self) -> list[Column]:
         return [F.sum(m).cast("bigint").alias(m) for m in self.measures]
@@ -116,6 +127,7 @@ GEO = RollupSpec(
     inputs=("date", "latitude", "longitude", "accident_severity", "number_of_casualties", "number_of_vehicles"),
     keys={"event_date": "date", "lat_grid": "decimal(5,2)", "lon_grid": "decimal(5,2)"},
     measures=("accident_count", "fatal_count", "serious_count", "slight_count", "total_casualties", "total_vehicles"),
+    period="date_format(event_date, 'yyyy-MM')",
     contribution=_geo,
 )
 CONDITIONS = RollupSpec(
@@ -137,6 +149,7 @@ CONDITIONS = RollupSpec(
         "speed_limit": "int",
     },
     measures=("accident_count", "severity_sum", "fatal_count"),
+    period="date_format(event_date, 'yyyy-MM')",
     contribution=_conditions,
 )
 HOTSPOTS = RollupSpec(
@@ -150,6 +163,7 @@ HOTSPOTS = RollupSpec(
         "urban_or_rural_area": "string",
     },
     measures=("weighted_count", "accident_count"),
+    period="date_format(event_date, 'yyyy-MM')",
     contribution=_hotspots,
 )
 PROFILE = RollupSpec(
@@ -158,6 +172,7 @@ PROFILE = RollupSpec(
     inputs=("year", "age_band_of_driver", "sex_of_driver", "vehicle_type", "age_of_vehicle"),
     keys={"year": "int", "age_band_of_driver": "string", "sex_of_driver": "string", "vehicle_type": "string"},
     measures=("vehicle_count", "age_of_vehicle_sum", "age_of_vehicle_count"),
+    period="cast(year as string)",
     contribution=_profile,
 )
 ROLLUPS = {spec.name: spec for spec in (GEO, CONDITIONS, HOTSPOTS, PROFILE)}

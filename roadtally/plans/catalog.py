@@ -511,8 +511,8 @@ def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def snapshot_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = {spec.name: _table(spark, sf_dir, spec) for spec in ROLLUPS.values()}
-    return snapshot(tables, F.lit(FIRST_STAMP).cast("timestamp_ntz"))
+    pieces = {spec.name: _sliced(spark, sf_dir, spec) for spec in ROLLUPS.values()}
+    return snapshot(merge(GEO, pieces[GEO.name]), pieces, F.lit(FIRST_STAMP).cast("timestamp_ntz"))
 
 
 @query

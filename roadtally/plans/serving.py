@@ -22,18 +22,21 @@ from roadtally.operators.reports import (
 from roadtally.operators.rollups import CONDITIONS, GEO, HOTSPOTS, PROFILE, ROLLUPS, STAMP, RollupSpec
 
 
-def snapshot_parts(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """The result sets of one snapshot, over tables pinned to one state."""
-    geo = tables[GEO.name]
+def snapshot_parts(geo: DataFrame, pieces: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The result sets of one snapshot, over tables pinned to one state.
+
+    Only the newest cells need the merged ``geo`` table. All other parts are sums, which come out the same over
+    unmerged ``pieces`` and so skip the shuffle of the merge.
+    """
     cells = latest(geo, list(GEO.keys), SNAPSHOT_CELLS)
     return {
-        "stats": totals(geo, with_update=True),
+        "stats": totals(pieces[GEO.name], with_update=True),
         "recent_geo": cells.select("event_date", "lat_grid", "lon_grid", "accident_count", "fatal_count", STAMP),
-        "top_districts": top_districts(tables[HOTSPOTS.name], TOP_ROWS),
-        "top_weather": top_weather(tables[CONDITIONS.name], SNAPSHOT_WEATHER).withColumnRenamed(
+        "top_districts": top_districts(pieces[HOTSPOTS.name], TOP_ROWS),
+        "top_weather": top_weather(pieces[CONDITIONS.name], SNAPSHOT_WEATHER).withColumnRenamed(
             "weather_conditions", "weather"
         ),
-        "age_bands": drivers_by_age_band(tables[PROFILE.name], limit=None),
+        "age_bands": drivers_by_age_band(pieces[PROFILE.name], limit=None),
     }
 
 
@@ -44,9 +47,9 @@ def _listed(part: DataFrame, order: list[Column], columns: list[str] | None = No
     return shown.agg(F.transform(F.sort_array(F.collect_list(row)), lambda r: r["row"])).scalar()
 
 
-def snapshot(tables: Mapping[str, DataFrame], taken_at: Column | None = None) -> DataFrame:
+def snapshot(geo: DataFrame, pieces: Mapping[str, DataFrame], taken_at: Column | None = None) -> DataFrame:
     """One row with the whole snapshot as a JSON document."""
-    parts = snapshot_parts(tables)
+    parts = snapshot_parts(geo, pieces)
     taken_at = F.current_timestamp() if taken_at is None else taken_at
     cells = parts["recent_geo"].withColumn("age", -F.unix_micros(F.col(STAMP).cast("timestamp"))).drop(STAMP)
     shown_cells = [c for c in cells.columns if c != "age"]
@@ -59,14 +62,16 @@ def snapshot(tables: Mapping[str, DataFrame], taken_at: Column | None = None) ->
         _listed(parts["top_weather"], [-F.col("accidents"), F.col("weather")]).alias("top_weather"),
         _listed(parts["age_bands"], [-F.col("vehicles"), F.col("age_band")]).alias("age_bands"),
     )
-    spark = tables[GEO.name].sparkSession
-    return spark.range(1).select(F.to_json(document, {"ignoreNullFields": "false"}).alias("document"))
+    return geo.sparkSession.range(1).select(F.to_json(document, {"ignoreNullFields": "false"}).alias("document"))
 
 
 def batch_recompute(events: DataFrame, spec: RollupSpec, stamp: Column) -> DataFrame:
-    """A rollup table computed anew from raw events, each event counted once however often it was delivered."""
-    needed = ["stream", "seq", *spec.inputs]
-    return spec.aggregate(drop_replays(events.select(*needed))).withColumn(STAMP, stamp)
+    """A rollup table computed anew from raw events, each event counted once however often it was delivered.
+
+    Events are reduced to their typed contributions before copies meet, which keeps the shuffled rows narrow.
+    """
+    identity = ["stream", "seq"]
+    return spec.total(drop_replays(spec.contributions(events, by=identity), identity)).withColumn(STAMP, stamp)
 
 
 def recompute_all(events: Mapping[str, DataFrame], stamp: Column) -> dict[str, DataFrame]:

@@ -88,15 +88,16 @@ def tables(spark, sf_dir):
 
 def test_snapshot_lists_its_parts_in_order(spark, sf_dir):
     pinned = tables(spark, sf_dir)
-    document = json.loads(snapshot(pinned).first()[0])
+    document = json.loads(snapshot(pinned[GEO.name], pinned).first()[0])
     assert document["type"] == "snapshot" and len(document["recent_geo"]) == 100
-    for name, part in snapshot_parts(pinned).items():
+    for name, part in snapshot_parts(pinned[GEO.name], pinned).items():
         rows = [r.asDict() for r in render(part.drop(STAMP)).collect()]
         assert document[name] == (rows[0] if name == "stats" else rows)
 
 
 def test_snapshot_of_empty_tables(spark, sf_dir):
-    document = json.loads(snapshot({k: v.limit(0) for k, v in tables(spark, sf_dir).items()}).first()[0])
+    empty = {k: v.limit(0) for k, v in tables(spark, sf_dir).items()}
+    document = json.loads(snapshot(empty[GEO.name], empty).first()[0])
     assert document["stats"]["total_accidents"] == 0 and document["stats"]["last_update"] is None
     assert document["recent_geo"] == document["age_bands"] == []
 
