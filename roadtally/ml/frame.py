@@ -27,7 +27,8 @@ def _usable(vehicles: DataFrame, accidents: DataFrame) -> tuple[DataFrame, DataF
     sides = [(vehicles, FEATURES, REJECTED), (accidents, (TARGET,), ())]
     cleaned = []
     for side, columns, rejected in sides:
-        rows = side.select(KEY_COLUMN, *[blank_to_null(c).alias(c) for c in columns]).dropna(how="any", subset=list(columns))
+        rows = side.select(KEY_COLUMN, *[blank_to_null(c).alias(c) for c in columns])
+        rows = rows.dropna(how="any", subset=list(columns))
         for c in columns if rejected else ():
             rows = rows.where(~F.col(c).isin(*rejected))
         cleaned.append(rows)
@@ -63,7 +64,8 @@ def split(groups: DataFrame, test_percent: int = TEST_PERCENT, seed: int = SEED)
     """Stratified split of the counted rows: columns ``n_train`` and ``n_test`` beside ``n``.
 
     Groups of a class are laid end to end in a seeded hash order and every 1/p-th row of that line goes to the
-    test part, so each class is split to the row. The window runs over groups, not over data rows.
+    test part, so each class is split to the row. The window runs over groups, which are combinations of the
+    categories the model has to hold, not over data rows.
     """
     shuffled = F.md5(F.concat_ws("|", F.lit(str(seed)), *FEATURES))
     line = Window.partitionBy(TARGET).orderBy(shuffled, *FEATURES).rowsBetween(Window.unboundedPreceding, 0)

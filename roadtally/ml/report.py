@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadtally.ml.frame import TARGET
@@ -10,11 +10,8 @@ from roadtally.ml.frame import TARGET
 
 def confusion(predicted: DataFrame, count: str = "n") -> DataFrame:
     """Rows per actual and predicted class."""
-    return (
-        predicted.groupBy(F.col(TARGET).alias("actual"), "predicted")
-        .agg(F.sum(count).alias("n"))
-        .where(F.col("n") > 0)
-    )
+    counted = predicted.groupBy(F.col(TARGET).alias("actual"), "predicted").agg(F.sum(count).alias("n"))
+    return counted.where(F.col("n") > 0)
 
 
 def accuracy(matrix: DataFrame) -> DataFrame:
@@ -27,15 +24,12 @@ def classification_report(matrix: DataFrame) -> DataFrame:
 
     A ratio without cases is 0. Works on the confusion matrix, which has one row per pair of classes.
     """
-    hit = F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0)
-    sides = matrix.select(
-        F.explode(
-            F.array(
-                F.struct(F.col("actual").alias("class"), F.col("n").alias("support"), F.lit(0).cast("bigint").alias("claimed"), hit.alias("hits")),
-                F.struct(F.col("predicted").alias("class"), F.lit(0).cast("bigint").alias("support"), F.col("n").alias("claimed"), F.lit(0).cast("bigint").alias("hits")),
-            )
-        ).alias("side")
-    ).select("side.*")
+    hits = "if(actual = predicted, n, 0L)"
+    sides = matrix.selectExpr(
+        "inline(array("
+        f"named_struct('class', actual, 'support', n, 'claimed', 0L, 'hits', {hits}),"
+        "named_struct('class', predicted, 'support', 0L, 'claimed', n, 'hits', 0L)))"
+    )
     sums = sides.groupBy("class").agg(*[F.sum(c).alias(c) for c in ("support", "claimed", "hits")])
     per_class = sums.select(
         "class",
@@ -58,5 +52,5 @@ def classification_report(matrix: DataFrame) -> DataFrame:
     )
 
 
-def _ratio(numerator: str, denominator: str):
+def _ratio(numerator: str, denominator: str) -> Column:
     return F.expr(f"coalesce(cast({numerator} as double) / nullif(cast({denominator} as double), 0), 0)")

@@ -57,7 +57,9 @@ def encoder_stages() -> list:
     indexed = [f"{c}_index" for c in FEATURES]
     encoded = [f"{c}_slots" for c in FEATURES]
     return [
-        StringIndexer(inputCols=list(FEATURES), outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"),
+        StringIndexer(
+            inputCols=list(FEATURES), outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"
+        ),
         OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True),
         VectorAssembler(inputCols=encoded, outputCol="features"),
     ]
@@ -98,7 +100,11 @@ def with_prediction(rows: DataFrame, pipeline: PipelineModel, classes: list[str]
 
 
 def train(
-    vehicles: DataFrame, accidents: DataFrame, min_rows: int = MIN_ROWS, test_percent: int = TEST_PERCENT, seed: int = SEED
+    vehicles: DataFrame,
+    accidents: DataFrame,
+    min_rows: int = MIN_ROWS,
+    test_percent: int = TEST_PERCENT,
+    seed: int = SEED,
 ) -> TrainedModel:
     """Join, clean, split, fit and evaluate. The full data is read once, into the counted groups."""
     spark = vehicles.sparkSession

@@ -22,7 +22,17 @@ from roadtally.operators import reports
 from roadtally.operators.joins import salted_join
 from roadtally.operators.merge import drop_replays, merge, rows_touched, slice_deltas
 from roadtally.operators.numbering import number_rows, total_order
-from roadtally.operators.rollups import CONDITIONS, DEMOGRAPHIC_KEYS, GEO, HOTSPOTS, PROFILE, ROLLUPS, STAMP, RollupSpec, demographics
+from roadtally.operators.rollups import (
+    CONDITIONS,
+    DEMOGRAPHIC_KEYS,
+    GEO,
+    HOTSPOTS,
+    PROFILE,
+    ROLLUPS,
+    STAMP,
+    RollupSpec,
+    demographics,
+)
 from roadtally.plans.serving import batch_recompute, serve, snapshot
 from roadtally.schemas import EXTRACT_SCHEMAS, wire_names
 from roadtally.session import scratch_path
@@ -91,7 +101,8 @@ def prep_filter_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixtures.accidents(spark, sf_dir).select("accident_index", event_time_text("date", "time").alias("event_time"))
+    text = event_time_text("date", "time")
+    return fixtures.accidents(spark, sf_dir).select("accident_index", text.alias("event_time"))
 
 
 def _messages(spark: SparkSession, sf_dir: str, stream: str, place: bool = True) -> DataFrame:
@@ -493,8 +504,8 @@ def model_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def rule_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report for a fixed rule in place of a model, so its figures can be checked elsewhere."""
-    rule = "case when sex_of_driver = 'Male' then 'Slight' when age_band_of_driver < '26' then 'Serious' else 'Fatal' end"
-    report = classification_report(confusion(_groups(spark, sf_dir).withColumn("predicted", F.expr(rule))))
+    rule = F.when(F.col("sex_of_driver") == "Male", "Slight").when(F.col("age_band_of_driver") < "26", "Serious")
+    report = classification_report(confusion(_groups(spark, sf_dir).withColumn("predicted", rule.otherwise("Fatal"))))
     return report.select("class", "support", *[F.round(m, 9).alias(m) for m in ("precision", "recall", "f1")])
 
 

@@ -114,6 +114,21 @@ def test_replays_are_dropped(spark, tmp_path):
     assert measures(RollupTable(spark, f"{tmp_path}/t", GEO).read()) == micro.GEO
 
 
+def test_extract_without_replays(spark, tmp_path):
+    once = messages(micro.vehicles(spark).coalesce(1), "vehicles")
+    for _ in range(2):
+        once.write.mode("append").parquet(f"{tmp_path}/in")
+    start_extract(
+        replay_files(spark, f"{tmp_path}/in", 10),
+        "vehicles",
+        f"{tmp_path}/out",
+        f"{tmp_path}/c",
+        True,
+        transform=lambda e: drop_replays_streaming(e, "kafka_ts", "1 hour"),
+    ).awaitTermination()
+    assert read_extract(spark, f"{tmp_path}/out", "vehicles").count() == 5
+
+
 def test_recompute_all(spark):
     events = {
         "accidents": decode(messages(micro.accidents(spark).coalesce(1), "accidents"), "accidents"),
