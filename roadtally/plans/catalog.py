@@ -52,8 +52,8 @@ CUT_OVER = "1998-07-01"
 
 
 def query(build: Query) -> Query:
-    """Register a query under its function name; its result is rendered."""
-    QUERIES[build.__name__] = lambda spark, sf_dir: reports.render(build(spark, sf_dir))
+    """Register a query under its function name, less a trailing underscore; its result is rendered."""
+    QUERIES[build.__name__.removesuffix("_")] = lambda spark, sf_dir: reports.render(build(spark, sf_dir))
     return build
 
 
@@ -100,7 +100,7 @@ def prep_filter_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_time_text_(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = event_time_text("date", "time")
     return fixtures.accidents(spark, sf_dir).select("accident_index", text.alias("event_time"))
 
@@ -186,12 +186,12 @@ def geo_grid_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def severity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+def severity_score_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.accidents(spark, sf_dir).select("accident_index", severity_score().alias("score"))
 
 
 @query
-def severity_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+def severity_weight_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.accidents(spark, sf_dir).select("accident_index", severity_weight().alias("weight"))
 
 
@@ -496,7 +496,7 @@ def model_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def model_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+def classification_report_(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = _model(spark, sf_dir)
     return classification_report(confusion(with_prediction(model.groups, model.pipeline, model.classes), "n_test"))
 
@@ -526,19 +526,31 @@ def snapshot_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot(merge(GEO, pieces[GEO.name]), pieces, F.lit(FIRST_STAMP).cast("timestamp_ntz"))
 
 
+def _recomputed(spark: SparkSession, sf_dir: str, spec: RollupSpec) -> DataFrame:
+    """A table recomputed from raw events that were all delivered twice."""
+    messages = _messages(spark, sf_dir, spec.stream, place=_needs_place(spec))
+    events = decode(messages.unionByName(messages), spec.stream, spec.inputs)
+    return batch_recompute(events, spec, _stamp(0)).drop(STAMP)
+
+
+@query
+def batch_recompute_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _recomputed(spark, sf_dir, GEO)
+
+
 @query
 def batch_recompute_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The conditions table recomputed from raw events that were all delivered twice."""
-    messages = _messages(spark, sf_dir, "accidents", place=False)
-    events = decode(messages.unionByName(messages), "accidents", CONDITIONS.inputs)
-    return batch_recompute(events, CONDITIONS, _stamp(0)).drop(STAMP)
+    return _recomputed(spark, sf_dir, CONDITIONS)
+
+
+@query
+def batch_recompute_hotspots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _recomputed(spark, sf_dir, HOTSPOTS)
 
 
 @query
 def batch_recompute_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = _messages(spark, sf_dir, "vehicles")
-    events = decode(messages.unionByName(messages), "vehicles", PROFILE.inputs)
-    return batch_recompute(events, PROFILE, _stamp(0)).drop(STAMP)
+    return _recomputed(spark, sf_dir, PROFILE)
 
 
 @query

@@ -164,7 +164,7 @@ VEHICLE_EXTRACT = f"{_with(VEHICLES)} select accident_index, age_band_of_driver,
 
 ORACLE: dict[str, str] = {
     "prep_filter_sort": f"{_with(VEHICLES)} select * from vehicles where not starts_with(accident_index, '2004') order by accident_index",
-    "event_time": f"{_with(ACCIDENTS)} select accident_index, {ENVELOPE_TIME} as event_time from accidents",
+    "event_time_text": f"{_with(ACCIDENTS)} select accident_index, {ENVELOPE_TIME} as event_time from accidents",
     "envelope_encode": f"""{_with(ACCIDENTS)} select accident_index as key, {ACCIDENT_SEQ} as seq, 'accidents' as stream,
         {ENVELOPE_TIME} as event_time, accident_severity, "date", local_authority_district, speed_limit from accidents""",
     "envelope_encode_vehicles": f"""{_with(VEHICLES)} select accident_index as key, {VEHICLE_SEQ} as seq, 'vehicles' as stream,
@@ -180,8 +180,8 @@ ORACLE: dict[str, str] = {
     "geo_grid_cells": f"""{_with(ACCIDENTS)} select accident_index, cast(round(try_cast(latitude as decimal(18,6)), 1) as double) as lat_grid,
         cast(round(try_cast(longitude as decimal(18,6)), 1) as double) as lon_grid
         from accidents where try_cast(latitude as double) is not null and try_cast(longitude as double) is not null""",
-    "severity_scores": f"{_with(ACCIDENTS)} select accident_index, case accident_severity when 'Fatal' then 3 when 'Serious' then 2 else 1 end as score from accidents",
-    "severity_weights": f"{_with(ACCIDENTS)} select accident_index, case accident_severity when 'Fatal' then 5 when 'Serious' then 3 else 1 end as weight from accidents",
+    "severity_score": f"{_with(ACCIDENTS)} select accident_index, case accident_severity when 'Fatal' then 3 when 'Serious' then 2 else 1 end as score from accidents",
+    "severity_weight": f"{_with(ACCIDENTS)} select accident_index, case accident_severity when 'Fatal' then 5 when 'Serious' then 3 else 1 end as weight from accidents",
     "tolerant_casts": f"""{_with(ACCIDENTS)} select accident_index, cast({_long('speed_limit')} as integer) as speed_limit,
         {_long('number_of_casualties')} as casualties, {_long('number_of_vehicles')} as vehicles from accidents""",
     "null_key_rejects": f"""{_with(ACCIDENTS)} select accident_index, case when {DAY} is null then 1 else 0 end as no_date,
@@ -295,7 +295,9 @@ ORACLE: dict[str, str] = {
           'top_districts': (select list(districts) from districts),
           'top_weather': (select list(top_weather) from top_weather),
           'age_bands': (select list(bands) from bands)}}) as varchar) as document""",
+    "batch_recompute": GEO_RESULT,
     "batch_recompute_conditions": CONDITION_RESULT,
+    "batch_recompute_hotspots": HOTSPOT_RESULT,
     "batch_recompute_profile": PROFILE_RESULT,
     "serve_batch_or_stream": f"""{GEO} select {GEO_KEYS}, {GEO_MEASURES},
         case when event_date < date '1998-07-01' then '2024-01-01T00:00:00' else {ISO_STAMP.format('newest')} end as inserted_at,

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from roadtally.operators.joins import fits_broadcast, heavy_keys, join_counts, lookup_join, salted_join
+from roadtally.operators.joins import _cells, fits_broadcast, heavy_keys, join_counts, lookup_join, salted_join
 from roadtally.operators.numbering import number_rows, total_order
 
 ROWS = 3000
@@ -61,6 +61,19 @@ def test_hot_key_is_spread(spark):
     assert sum(sizes) >= ROWS // 3 and len(sizes) >= 6 and max(sizes) <= ROWS // 3 / 2
 
 
+def test_a_rerun_puts_rows_in_the_same_cells(spark, tmp_path):
+    """Cells depend on partition and content, not on the order in which a task meets its rows."""
+    children(spark).write.parquet(str(tmp_path))
+    rows = spark.read.parquet(str(tmp_path))
+    heavy = heavy_keys(rows, "k", 100).select("k", F.col("cells").alias("left_cells"), F.lit(2).alias("right_cells"))
+    placed = [
+        counted(_cells(one, "k", heavy, "left", "right", ["k", "v"]).select("k", "v", "left_cell", "right_cell"))
+        for one in (rows, rows.sortWithinPartitions(F.desc("v"), "k"))
+    ]
+    assert placed[0] == placed[1]
+    assert len({cell for (k, _, cell, _) in placed[0] if k == "7"}) == 11
+
+
 def test_lookup_join_both_ways(spark):
     left, right = children(spark), parents(spark, 0)
     assert counted(lookup_join(left, right, "k", limit=0).select("k", "v", "p")) == counted(

@@ -6,7 +6,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from tests.compare import connect, kinds, rows_of_duckdb, rows_of_spark
 
 # Without a twin: fitted by an iterative optimiser.
-ROWS_ONLY = {"severity_coefficients", "model_accuracy", "model_report", "score_batch"}
+ROWS_ONLY = {"severity_coefficients", "model_accuracy", "classification_report", "score_batch"}
 
 
 @pytest.fixture(scope="module")

@@ -104,11 +104,11 @@ def test_extract_folder(spark, tmp_path):
 
 
 def test_kafka(spark):
-    options = source_options("host:9093", "accident-raw", {"kafka.security.protocol": "SASL_SSL"})
+    options = source_options("host:9093", "accidents", {"kafka.security.protocol": "SASL_SSL"})
     assert options["startingOffsets"] == "latest" and options["failOnDataLoss"] == "false"
     assert options["maxOffsetsPerTrigger"] == "10000" and options["kafka.security.protocol"] == "SASL_SSL"
     with pytest.raises(Exception, match="(?i)kafka"):  # the connector is not installed here
-        read_stream(spark, "host:9092", "accident-raw")
+        read_stream(spark, "host:9092", "accidents")
 
 
 def test_shared_folder_is_the_configured_one(spark):
