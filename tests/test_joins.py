@@ -63,8 +63,8 @@ def test_hot_key_is_spread(spark):
 
 def test_a_rerun_puts_rows_in_the_same_cells(spark, tmp_path):
     """Cells depend on partition and content, not on the order in which a task meets its rows."""
-    children(spark).write.parquet(str(tmp_path))
-    rows = spark.read.parquet(str(tmp_path))
+    children(spark).write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
     heavy = heavy_keys(rows, "k", 100).select("k", F.col("cells").alias("left_cells"), F.lit(2).alias("right_cells"))
     placed = [
         counted(_cells(one, "k", heavy, "left", "right", ["k", "v"]).select("k", "v", "left_cell", "right_cell"))

@@ -131,6 +131,8 @@ def test_score_and_versions(spark, model, tmp_path):
     )
     scored = {r["id"]: r for r in score(rows, pipeline, metadata).collect()}
     assert scored == {r["id"]: r for r in score(rows, pipeline, metadata, max_cases=1).collect()}  # by table or by row
+    plan = score(rows, pipeline, metadata)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan
     first = scored[1]
     assert first["predicted_severity"] == "Fatal" == first["ranked"][0]["class"] == max(first["probabilities"], key=first["probabilities"].get)
     assert sum(first["probabilities"].values()) == pytest.approx(1)
