@@ -42,11 +42,13 @@ def ascii_lower(text: Column) -> Column:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cuts batches so that one text column holds about ``limit`` bytes at most, or one row."""
+    """Cuts batches so that one text column, or field of a struct column, holds about ``limit`` bytes, or one row."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        name, _, field = column.partition(".")
+        texts = batch.column(name).field(field) if field else batch.column(name)
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes, dtype=np.int64)
         start, base = 0, 0
         while start < batch.num_rows:

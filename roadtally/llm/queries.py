@@ -3,17 +3,91 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from roadtally.llm import decontamination, mixing, passages, secrets, sharding, toxicity, warc, weighted_sampling
 from roadtally.llm.common import table
 from roadtally.llm.jaccard_join import jaccard_components
+from roadtally.llm.link_graph import judge_urls
+
+SHARDS = 24
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(docs, lexicon, ["doc_id"]).select(
+        "row.doc_id", (toxicity.fold_of(F.col("row.doc_id")) == 2).alias("held_out"), "score", "predicted", "n_matches"
+    )
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = warc.with_references(table(spark, sf_dir, "pages"))
+    archives = warc.write_archives(rows, warc.archive_folder(spark))
+    return warc.read_archives(archives, ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(table(spark, sf_dir, "documents"))
+
+
+def op4_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_sampling.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.shared_passages(table(spark, sf_dir, "documents"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.sample_to_targets(table(spark, sf_dir, "documents")).select(
+        "row.doc_id", "source", "lang", "topic", "tokens", "probability", "sampled"
+    )
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_rows(table(spark, sf_dir, "documents"), SHARDS, ["doc_id"]).select(
+        "row.doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_warc": op2_warc,
+    "op3_secrets": op3_secrets,
+    "op4_weighted_sampling": op4_weighted_sampling,
+    "op5_decontamination": op5_decontamination,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_passages": op7_passages,
+    "op8_mixing": op8_mixing,
+    "op9_sharding": op9_sharding,
+    "op10_url_filter": op10_url_filter,
+    "pipeline": pipeline,
 }
 
 ORACLE: dict[str, str] = {}
