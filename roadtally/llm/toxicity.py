@@ -7,7 +7,8 @@ both letters fold to i. The lexicon holds whole words and word beginnings, as pa
 A text's load is the sum of the weights of its matches (the heaviest per word start, none inside an exception phrase)
 divided by its words plus ``PRIOR_WORDS``; the score is ``load / (load + c)`` with c set so that the calibrated cut is
 0.3. Lexicon, exception phrases and cut come from labelled rows: at most ``SAMPLE_ROWS`` per label, taken in the order
-of a hash of the id. Rows with id hash 0 or 1 (mod 4) give the lexicon, those with 3 the cut, those with 2 nothing.
+of a hash of the id. The cut is set on rows with id hash 3 (mod 4) by a lexicon from those with 0 and 1; the lexicon in use is
+then learned from all three parts. Rows with 2 are held out.
 
 Null and empty texts and texts without letters score 0. Without labels of both kinds the lexicon is empty and all
 scores are 0. Repeated rows get equal scores; an id labelled twice is toxic if any label says so.
@@ -31,12 +32,16 @@ from roadtally.llm.common import slices, written
 SAMPLE_ROWS = 9000
 MAX_TERMS = 2000
 MAX_PHRASES = 2000
-# A term counts from this many toxic rows and this share of them on, if its log odds exceed SURE standard errors by FLOOR.
-MIN_ROWS, MIN_SHARE, SURE, FLOOR = 3, 0.01, 2.0, 1.0
-PREFIXES = (4, 5, 6)
+# A term needs this many toxic rows and this share of them, odds of at least so many e-folds, and a likelihood ratio that chance
+# alone would reach for about ``CHANCE`` of all terms seen.
+MIN_ROWS, MIN_SHARE, MIN_WEIGHT, CHANCE = 3, 0.02, 1.0, 0.1
+# Standard errors taken off a term's log odds.
+CAUTION = 1.5
+PREFIXES = (4, 5, 6, 7)
 PRIOR_WORDS = 20
 CUT_SCORE = 0.3
 DEFAULT_CUT = 0.05
+PLATEAU = 0.01
 
 # Look-alike letters (Cyrillic, Greek) and substitutions, each with the Latin letter meant.
 LOOKALIKES = {
@@ -161,28 +166,42 @@ def fit(docs: DataFrame, labels: DataFrame, exceptions: Iterable[str] = ()) -> L
     samples = [known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS) for y in (0, 1)]
     chosen = samples[0].union(samples[1])  # at most 2 * SAMPLE_ROWS narrow rows, so a broadcast is bounded
     rows = written(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "labelled")
-    mining, checking = rows.where("part in (0, 1)"), rows.where("part = 3")
-
     table = Folding()
-    lexicon = Lexicon(exceptions=sorted({" " + " ".join(folded(e, table).split()) + " " for e in exceptions}))
-    sizes = {r["toxic"]: r["n"] for r in mining.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    given = sorted({" " + " ".join(folded(e, table).split()) + " " for e in exceptions})
+    first = _mined(rows.where("part in (0, 1)"), given)
+    if not first.terms:
+        return _mined(rows, given)
+    seen = loads(rows.where("part = 3"), first, ["toxic"]).select("row.toxic", "load").collect()  # bounded sample
+    lexicon = _mined(rows, given)
+    lexicon.cut = best_cut([(r["load"], r["toxic"]) for r in seen])
+    return lexicon
+
+
+def _mined(rows: DataFrame, exceptions: list[str]) -> Lexicon:
+    """Terms and exception phrases from sampled rows."""
+    lexicon = Lexicon(exceptions=exceptions)
+    sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
         return lexicon
-    counted = _summed(mining.select("text", "toxic").mapInArrow(_term_counts, _COUNTS))
+    counted = _summed(rows.select("text", "toxic").mapInArrow(_term_counts, _COUNTS))
+    counted = written(counted.where(F.col("p") + F.col("n") >= MIN_ROWS), "terms")
     p, n = F.col("p") + 0.5, F.col("n") + 0.5
-    weight = F.log(p / (sizes[1] + 1)) - F.log(n / (sizes[0] + 1))
-    sure = weight - SURE * F.sqrt(1 / p + 1 / n)
+    weight = F.log(p / (sizes[1] + 1)) - F.log(n / (sizes[0] + 1)) - CAUTION * F.sqrt(1 / p + 1 / n)
+    share = sizes[1] / (sizes[0] + sizes[1])
+    both = F.col("p") + F.col("n")
+    ratio = 2 * (
+        F.col("p") * F.log(F.greatest("p", F.lit(1)) / (both * share))
+        + F.col("n") * F.log(F.greatest("n", F.lit(1)) / (both * (1 - share)))
+    )
+    needed = 2 * math.log(max(1, counted.count()) / CHANCE)
     best = (
-        counted.where((F.col("p") >= max(MIN_ROWS, MIN_SHARE * sizes[1])) & (sure > FLOOR))
-        .select("term", weight.alias("weight"), sure.alias("sure"), "n")
-        .orderBy(F.desc("sure"), "term")
+        counted.where((F.col("p") >= max(MIN_ROWS, MIN_SHARE * sizes[1])) & (weight >= MIN_WEIGHT) & (ratio >= needed))
+        .select("term", weight.alias("weight"), ratio.alias("ratio"), "n")
+        .orderBy(F.desc("ratio"), "term")
         .limit(MAX_TERMS)
         .collect()
     )
     lexicon.terms = {r["term"]: float(r["weight"]) for r in best}
-    if not lexicon.terms:
-        return lexicon
-
     if any(r["n"] for r in best):  # only terms that clean rows hold can need exceptions
         terms = Lexicon(lexicon.terms)
 
@@ -192,40 +211,41 @@ def fit(docs: DataFrame, labels: DataFrame, exceptions: Iterable[str] = ()) -> L
             def around(text: str) -> set[str]:
                 out = set()
                 for start in matches(text, automaton):
-                    before, after = text[:start].split()[-1:], text[start : start + 200].split()[:2]
+                    before, after = text[max(0, start - 200) : start].split()[-1:], text[start : start + 200].split()[:2]
                     out.update(" " + " ".join(x) + " " for x in (before + after[:1], after) if len(x) == 2)
                 return out
 
             yield from _counts_by_label(batches, around)
 
         found = (
-            _summed(mining.select("text", "toxic").mapInArrow(phrases, _COUNTS))
+            _summed(rows.select("text", "toxic").mapInArrow(phrases, _COUNTS))
             .where(F.col("n") >= MIN_ROWS)
             .where(F.col("p") * sizes[0] < F.col("n") * sizes[1])
             .orderBy(F.desc("n"), "term")
             .limit(MAX_PHRASES)
             .collect()
         )
-        lexicon.exceptions = sorted({*lexicon.exceptions, *(r["term"] for r in found)})
-
-    seen = loads(checking, lexicon, ["toxic"]).select("row.toxic", "load").collect()  # bounded sample
-    lexicon.cut = best_cut([(r["load"], r["toxic"]) for r in seen])
+        lexicon.exceptions = sorted({*exceptions, *(r["term"] for r in found)})
     return lexicon
 
 
 def best_cut(seen: list[tuple[float, int]]) -> float:
-    """The load that separates the labels with the best F1, midway (in ratio) to the next lower load."""
+    """The middle (in ratio) of the loads that separate the labels with an F1 within ``PLATEAU`` of the best."""
     seen = sorted(seen, reverse=True)
     total = sum(y for _, y in seen)
-    best, cut, caught = 0.0, DEFAULT_CUT, 0
+    cuts, caught = [], 0
     for i, (load, toxic) in enumerate(seen):
-        caught += toxic
-        below = seen[i + 1][0] if i + 1 < len(seen) else 0.0
         if load <= 0:
             break
-        if below < load and (f1 := 2 * caught / (i + 1 + total)) > best:
-            best, cut = f1, math.sqrt(load * below) if below > 0 else load / 4
-    return cut
+        caught += toxic
+        below = seen[i + 1][0] if i + 1 < len(seen) else 0.0
+        if below < load:
+            cuts.append((2 * caught / (i + 1 + total), math.sqrt(load * below) if below > 0 else load / 4))
+    best = max((f1 for f1, _ in cuts), default=0.0)
+    if not best:
+        return DEFAULT_CUT
+    good = [cut for f1, cut in cuts if f1 >= best - PLATEAU]
+    return math.sqrt(min(good) * max(good))
 
 
 def loads(docs: DataFrame, lexicon: Lexicon, keep: Iterable[str]) -> DataFrame:
