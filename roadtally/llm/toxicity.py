@@ -230,7 +230,7 @@ def _mined(rows: DataFrame, exceptions: list[str]) -> Lexicon:
 
 
 def best_cut(seen: list[tuple[float, int]]) -> float:
-    """The middle (in ratio) of the loads that separate the labels with an F1 within ``PLATEAU`` of the best."""
+    """The highest load that separates the labels with an F1 within ``PLATEAU`` of the best: clean texts should stay."""
     seen = sorted(seen, reverse=True)
     total = sum(y for _, y in seen)
     cuts, caught = [], 0
@@ -244,8 +244,7 @@ def best_cut(seen: list[tuple[float, int]]) -> float:
     best = max((f1 for f1, _ in cuts), default=0.0)
     if not best:
         return DEFAULT_CUT
-    good = [cut for f1, cut in cuts if f1 >= best - PLATEAU]
-    return math.sqrt(min(good) * max(good))
+    return max(cut for f1, cut in cuts if f1 >= best - PLATEAU)
 
 
 def loads(docs: DataFrame, lexicon: Lexicon, keep: Iterable[str]) -> DataFrame:
