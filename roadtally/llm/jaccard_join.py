@@ -19,6 +19,7 @@ A set is named by 64 bits of a hash over its shingles (about 3 % risk of one cla
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,8 @@ PARTS, OF = 80, 100
 WORDS_PER_SHINGLE = 0.55
 # Members of one run that a comparing task holds at a time.
 RUN_CELL = 2048
+# Orders of the keys under which entities are paired by their smallest key.
+KEY_ORDERS = 8
 
 FEATURES = "doc_id long, n_shingles long, entity long, sketch binary, keys array<long>"
 _KEY_SALT = 0xD6E8FEB86659FD93
@@ -49,7 +52,7 @@ def band(n: int) -> int:
     return n.bit_length() - 1
 
 
-def largest_difference(a: int, b: int) -> int:
+def largest_difference(a, b):
     """Most shingles outside the intersection of linked sets of these sizes."""
     return (a + b) * (OF - PARTS) // (OF + PARTS)
 
@@ -135,9 +138,8 @@ def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shared_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by key and entity, the distinct ones whose key has several entities, with the first of them."""
-    last = None  # key, entity, whether its key is known to be shared, first entity
-    names = ["key", "entity", "center"]
+    """Of rows sorted by key and entity, the distinct ones whose key has several entities."""
+    last = None  # key, entity, whether its key is known to be shared
     for batch in batches:
         key, entity = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         if not len(key):
@@ -148,16 +150,13 @@ def _shared_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, entity = key[new], entity[new]
         same = key[1:] == key[:-1]
         shared = np.append(False, same) | np.append(same, False)
-        start = np.maximum.accumulate(np.where(np.append(True, ~same), np.arange(len(key)), 0))
-        center = entity[start]
         if last:
             shared[0] |= last[2]
-            center[start == 0] = last[3]
-        last = (key[-1], entity[-1], bool(shared[-1]), center[-1])
+        last = (key[-1], entity[-1], bool(shared[-1]))
         out = np.flatnonzero(shared[:-1])
-        yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (key, entity, center)], names)
+        yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (key, entity)], ["key", "entity"])
     if last and last[2]:
-        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (last[0], last[1], last[3])], names)
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in last[:2]], ["key", "entity"])
 
 
 def _possible(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,21 +188,40 @@ def _linked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
 
-def _crossing(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one run in different components that sizes and sketches allow; rows come sorted by run cell."""
+def _crossing(batches: Iterable[pa.RecordBatch], nearest: bool) -> Iterator[pa.RecordBatch]:
+    """Pairs of one run in different components that sizes and sketches allow; rows come sorted by run cell.
+
+    ``nearest`` keeps for each member the one partner whose sketch is relatively closest.
+    """
     held, members = None, []
 
     def pairs():
         if held is None:
             return
-        left, right = held[1], held[2]
-        a_side = [m for m in members if m[0] == left]
-        b_side = a_side if left == right else [m for m in members if m[0] == right]
+        _, left, right = held
+        sizes = np.array([m[3] for m in members])
+        component, entity, cell = (np.array([m[i] for m in members]) for i in (2, 1, 0))
+        # All sketches folded to the run's smallest, which bounds the distance from below as well.
+        least = 4 << band(int(sizes.min()))
+        bits = [np.unpackbits(np.frombuffer(m[4], np.uint8))[: 4 << band(m[3])] for m in members]
+        sketches = np.stack([np.packbits(_folded(b, least)) for b in bits])
+        order = np.arange(len(members))
         found = []
-        for i, a in enumerate(a_side):
-            for b in b_side[i + 1 :] if left == right else b_side:
-                if a[2] != b[2] and may_link(a[3], a[4], b[3], b[4]):
-                    found.append((min(a[1], b[1]), max(a[1], b[1])))
+        for i in np.flatnonzero(cell == left):
+            other = (component != component[i]) & (cell == right)
+            if left == right and not nearest:
+                other &= order > i
+            other &= OF * np.minimum(sizes, sizes[i]) >= PARTS * np.maximum(sizes, sizes[i])
+            at = np.flatnonzero(other)
+            if not len(at):
+                continue
+            apart = np.bitwise_count(sketches[at] ^ sketches[i]).sum(axis=1, dtype=np.int64)
+            good = apart <= largest_difference(sizes[at], sizes[i])
+            at, apart = at[good], apart[good]
+            if nearest and len(at):
+                at = at[[np.argmin(apart / (sizes[at] + sizes[i]))]]
+            for j in at:
+                found.append((int(min(entity[i], entity[j])), int(max(entity[i], entity[j]))))
         yield pa.RecordBatch.from_arrays(
             [pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())], ["a", "b"]
         )
@@ -218,7 +236,43 @@ def _crossing(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from pairs()
 
 
-def _verified(pairs: DataFrame, info: DataFrame, docs: DataFrame) -> DataFrame:
+def _nearest(batches):
+    yield from _crossing(batches, True)
+
+
+def _every(batches):
+    yield from _crossing(batches, False)
+
+
+def _crossing_pairs(runs: DataFrame, parts: DataFrame, info: DataFrame, search) -> DataFrame:
+    """Candidate pairs ``(a, b)`` of entities that share a key but no component yet, from cells of each key's holders."""
+    placed = runs.join(parts, F.col("entity") == F.col("node"), "left").select(
+        "key", "entity", F.coalesce("component", "entity").alias("component")
+    )
+    open_keys = (
+        placed.groupBy("key")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"))
+        .where("low != high")
+        .select("key", F.ceil(F.col("members") / RUN_CELL).cast("int").alias("cells"))
+    )
+    cells = (
+        placed.join(open_keys, "key")
+        .join(info.select("entity", "n_shingles", "sketch"), "entity")
+        .withColumn("cell", F.pmod(F.xxhash64("entity"), F.col("cells")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+        .withColumn("left", F.least("cell", "other"))
+        .withColumn("right", F.greatest("cell", "other"))
+        .select("key", "left", "right", "cell", "entity", "component", "n_shingles", "sketch")
+    )
+    found = (
+        cells.repartition("key", "left", "right")
+        .sortWithinPartitions("key", "left", "right")
+        .mapInArrow(search, "a long, b long")
+    )
+    return written(found.distinct(), "crossing")
+
+
+def _verified(pairs: DataFrame, info: DataFrame, docs: DataFrame) -> DataFrame | None:
     """Of candidate pairs ``(a, b)`` those whose sets link; texts are read again for the entities still in question."""
     sides = [
         info.select(F.col("entity").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
@@ -227,26 +281,42 @@ def _verified(pairs: DataFrame, info: DataFrame, docs: DataFrame) -> DataFrame:
     possible = written(
         pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(_possible, "a long, b long"), "possible"
     )
+    if not possible.limit(1).count():
+        return None
     asked = possible.select(F.col("a").alias("entity")).union(possible.select("b")).distinct()
     asked = written(info.join(asked, "entity", "left_semi").select("doc_id", "entity"), "asked")
     sets = written(docs.join(asked, "doc_id").mapInArrow(_entity_sets, "entity long, shingles binary"), "sets")
     a, b = (sets.select(F.col("entity").alias(s), F.col("shingles").alias(f"set_{s}")) for s in ("a", "b"))
-    return possible.join(a, "a").join(b, "b").mapInArrow(_linked, "a long, b long").distinct()
+    return written(possible.join(a, "a").join(b, "b").mapInArrow(_linked, "a long, b long").distinct(), "links")
+
+
+def _look_alikes(runs: DataFrame) -> DataFrame:
+    """Entities with the same smallest key, under several orders of the keys, paired with the first of them.
+
+    Near copies share many keys, hence probably a smallest one, while texts that share a passage do not.
+    """
+    least = runs.groupBy("entity").agg(
+        F.array(*[F.min(F.xxhash64(F.lit(i), "key")) for i in range(KEY_ORDERS)]).alias("least")
+    )
+    signs = written(least.select("entity", F.posexplode("least").alias("turn", "sign")), "signs")
+    firsts = signs.groupBy("turn", "sign").agg(F.min("entity").alias("a"), F.count("*").alias("members"))
+    firsts = written(firsts.where("members > 1").drop("members"), "firsts")
+    pairs = signs.join(firsts, ["turn", "sign"]).select("a", F.col("entity").alias("b"))
+    return pairs.where("a != b").distinct()
 
 
 def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row; see the module's text.
 
-    Candidates are found in two rounds. First each published key links its holders to one of them, which joins
-    a large group of near copies without listing its pairs. Then only keys whose holders still lie in different components
-    are looked at pair by pair, in cells of ``RUN_CELL`` holders; pairs inside a component need no test.
+    Entities that publish a common key are candidates, but pairs are tested only between components that the tests before
+    left apart, so a large group of near copies is joined without listing its pairs: first entities that agree in a smallest
+    key; then, per key, every holder with the holder of another component that looks nearest, as long as half of them link; and
+    last all holders of different components that sizes and sketches allow. Holders are compared in cells of ``RUN_CELL``.
     """
     docs = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     features = written(docs.mapInArrow(_features, FEATURES), "features")
     keys = features.select(F.explode("keys").alias("key"), "entity").repartition("key")
-    runs = written(
-        keys.sortWithinPartitions("key", "entity").mapInArrow(_shared_runs, "key long, entity long, center long"), "runs"
-    )
+    runs = written(keys.sortWithinPartitions("key", "entity").mapInArrow(_shared_runs, "key long, entity long"), "runs")
     known = features.where(F.col("entity").isNotNull())
     info = written(
         known.join(runs.select("entity").distinct(), "entity", "left_semi")
@@ -254,40 +324,24 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
         .agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch")),
         "info",
     )
-    stars = runs.where(F.col("entity") != F.col("center"))
-    stars = stars.select(F.col("center").alias("a"), F.col("entity").alias("b")).distinct()
-    links = written(_verified(stars, info, docs), "links")
-    parts = components(links)
-
-    placed = (
-        runs.join(parts, F.col("entity") == F.col("node"), "left")
-        .select("key", "entity", "center", F.coalesce("component", "entity").alias("component"))
-    )
-    open_keys = (
-        placed.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"))
-        .where("low != high and members > 2")
-        .select("key", F.ceil(F.col("members") / RUN_CELL).cast("int").alias("cells"))
-    )
-    cells = (
-        placed.where(F.col("entity") != F.col("center"))  # pairs with the center are tested already
-        .join(open_keys, "key")
-        .join(info.select("entity", "n_shingles", "sketch"), "entity")
-        .withColumn("cell", F.pmod(F.xxhash64("entity"), F.col("cells")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
-        .withColumn("left", F.least("cell", "other"))
-        .withColumn("right", F.greatest("cell", "other"))
-        .select("key", "left", "right", "cell", "entity", "component", "n_shingles", "sketch")
-    )
-    crossing = (
-        cells.repartition("key", "left", "right")
-        .sortWithinPartitions("key", "left", "right")
-        .mapInArrow(_crossing, "a long, b long")
-        .distinct()
-    )
-    more = written(_verified(written(crossing, "crossing"), info, docs), "links")
-    if more.limit(1).count():
-        parts = components(links.union(more))
+    links = docs.sparkSession.createDataFrame([], "a long, b long")
+    parts = docs.sparkSession.createDataFrame([], "node long, component long")
+
+    def tested(pairs: DataFrame) -> int:
+        """Add the links among the pairs; their number."""
+        nonlocal links, parts
+        more = _verified(pairs, info, docs)
+        found = more.count() if more is not None else 0
+        if found:
+            links = links.union(more)
+            parts = components(links)
+        return found
+
+    tested(_look_alikes(runs))
+    while tried := (near := _crossing_pairs(runs, parts, info, _nearest)).count():
+        if 2 * tested(near) < tried:
+            tested(_crossing_pairs(runs, parts, info, _every))
+            break
 
     first = known.groupBy("entity").agg(F.min("doc_id").alias("first_id"))
     grouped = parts.withColumnRenamed("node", "entity").join(first, "entity")
