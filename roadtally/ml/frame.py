@@ -60,18 +60,23 @@ def feature_options(groups: DataFrame) -> DataFrame:
     return values.withColumn("place", F.row_number().over(place))
 
 
-def split(groups: DataFrame, test_percent: int = TEST_PERCENT, seed: int = SEED) -> DataFrame:
-    """Stratified split of the counted rows: columns ``n_train`` and ``n_test`` beside ``n``.
-
-    Groups of a class are laid end to end in a seeded hash order and every 1/p-th row of that line goes to the
-    test part, so each class is split to the row. The window runs over groups, which are combinations of the
-    categories the model has to hold, not over data rows.
-    """
-    shuffled = F.md5(F.concat_ws("|", F.lit(str(seed)), *FEATURES))
-    line = Window.partitionBy(TARGET).orderBy(shuffled, *FEATURES).rowsBetween(Window.unboundedPreceding, 0)
-    counted = groups.withColumn("upto", F.sum("n").over(line))
-    n_test = F.expr(f"(({test_percent} * upto + 50) div 100) - (({test_percent} * (upto - n) + 50) div 100)")
-    return counted.withColumn("n_test", n_test).withColumn("n_train", F.col("n") - F.col("n_test")).drop("upto")
+def in_test_part(key: str = KEY_COLUMN, test_percent: int = TEST_PERCENT, seed: int = SEED) -> Column:
+    """Whether a row is held out: decided by a hash of seed and key, so an incident's rows stay together."""
+    seeded = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key)))
+    return F.conv(F.substring(seeded, 1, 8), 16, 10).cast("bigint") % 100 < test_percent
+
+
+def split_groups(
+    vehicles: DataFrame, accidents: DataFrame, test_percent: int = TEST_PERCENT, seed: int = SEED
+) -> DataFrame:
+    """``training_groups`` with ``n_train`` and ``n_test``: rows are drawn one by one, each class at the same rate."""
+    children, parents = _usable(vehicles, accidents)
+    flagged = children.withColumn("held_out", in_test_part(KEY_COLUMN, test_percent, seed))
+    counted = join_counts(flagged, parents, KEY_COLUMN)
+    part = lambda held: F.coalesce(F.sum(F.when(F.col("held_out") == held, F.col("n"))), F.lit(0))
+    return counted.groupBy(*FEATURES, TARGET).agg(
+        F.sum("n").alias("n"), part(True).alias("n_test"), part(False).alias("n_train")
+    )
 
 
 def split_sizes(groups: DataFrame) -> DataFrame:

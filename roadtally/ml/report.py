@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,9 +16,12 @@ def confusion(predicted: DataFrame, count: str = "n") -> DataFrame:
     return counted.where(F.col("n") > 0)
 
 
-def accuracy(matrix: DataFrame) -> DataFrame:
-    hits = F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0))
-    return matrix.agg((hits.cast("double") / F.sum("n").cast("double")).alias("accuracy"))
+def accuracies(predicted: DataFrame, parts: Sequence[str] = ("train", "test")) -> DataFrame:
+    """Share of right predictions per part, ``(part, accuracy)``, from one pass over the counts ``n_<part>``."""
+    rows = F.explode(F.create_map(*[x for p in parts for x in (F.lit(p), F.col(f"n_{p}"))])).alias("part", "n")
+    hits = F.sum(F.when(F.col("right"), F.col("n")).otherwise(0))
+    counted = predicted.select((F.col(TARGET) == F.col("predicted")).alias("right"), rows)
+    return counted.groupBy("part").agg((hits.cast("double") / F.sum("n").cast("double")).alias("accuracy"))
 
 
 def classification_report(matrix: DataFrame) -> DataFrame:

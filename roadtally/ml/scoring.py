@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import math
-from functools import reduce
-from operator import and_
-
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -13,9 +9,6 @@ from pyspark.sql import functions as F
 
 from roadtally.ml.training import with_prediction
 
-# Most combinations of known categories held in the broadcast table of a scoring run.
-MAX_CASES = 50_000
-
 
 def newest_version(spark: SparkSession, root: str) -> Row:
     """Metadata of the newest complete version: a row per version is read, the model files are not."""
@@ -32,25 +25,12 @@ def load_newest(spark: SparkSession, root: str) -> tuple[PipelineModel, Row]:
     return PipelineModel.load(f"{root.rstrip('/')}/version={metadata['version']}/model"), metadata
 
 
-def score(rows: DataFrame, pipeline: PipelineModel, metadata: Row, max_cases: int = MAX_CASES) -> DataFrame:
+def score(rows: DataFrame, pipeline: PipelineModel, metadata: Row) -> DataFrame:
     """Best class, probability per class, the classes ranked with percentages, and model facts per row.
 
-    A prediction depends only on which known category, if any, each feature has. The model is therefore applied
-    to every combination once, and rows look their case up in a broadcast table, whose size is the product of
-    the known categories. Beyond ``max_cases`` the model is applied to the rows themselves.
+    The model is a narrow transformation of the rows as they are: no shuffle, no table of cases.
     """
-    known = {feature: list(metadata["feature_options"][feature]) for feature in metadata["feature_columns"]}
-    if math.prod(len(values) + 1 for values in known.values()) > max_cases:
-        return _apply(rows, pipeline, metadata)
-    cases = rows.sparkSession.range(1).select()
-    for feature, values in known.items():
-        cases = cases.withColumn(feature, F.explode(F.array(*[F.lit(v) for v in values], F.lit(None).cast("string"))))
-    answers = _apply(cases, pipeline, metadata).withColumnsRenamed({feature: f"case_{feature}" for feature in known})
-    same_case = [
-        F.when(F.col(feature).isin(values), F.col(feature)).eqNullSafe(F.col(f"case_{feature}"))
-        for feature, values in known.items()
-    ]
-    return rows.join(F.broadcast(answers), reduce(and_, same_case), "left").drop(*[f"case_{f}" for f in known])
+    return _apply(rows, pipeline, metadata)
 
 
 def _apply(rows: DataFrame, pipeline: PipelineModel, metadata: Row) -> DataFrame:

@@ -20,18 +20,18 @@ from roadtally.ml.frame import (
     TEST_PERCENT,
     class_weights,
     feature_options,
-    split,
+    split_groups,
     target_distribution,
-    training_groups,
 )
-from roadtally.ml.report import accuracy, confusion
-from roadtally.session import shared_dir
+from roadtally.ml.report import accuracies
+from roadtally.session import checkpointed
 from roadtally.sources.files import read_extract
 
 # Inverse regularisation strength and iteration limit.
 C = 1.0
 MAX_ITER = 2000
-TOLERANCE = 1e-8
+# Relative change of the objective below which the line search can resolve no further step.
+TOLERANCE = 1e-7
 
 METADATA_SCHEMA = (
     "version string, feature_columns array<string>, classes array<string>,"
@@ -110,8 +110,7 @@ def train(
     spark = vehicles.sparkSession
     if vehicles.isEmpty() or accidents.isEmpty():
         raise ValueError("no accidents or no vehicles to train on")
-    shared_dir(spark)
-    groups = split(training_groups(vehicles, accidents), test_percent, seed).checkpoint()
+    groups = checkpointed(split_groups(vehicles, accidents, test_percent, seed))
     sizes = groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
         F.sum("n_train").alias("train"),
@@ -123,7 +122,7 @@ def train(
     classes = sorted(shares)
     pipeline = fit(groups, classes)
     predicted = with_prediction(groups, pipeline, classes)
-    scores = {part: accuracy(confusion(predicted, f"n_{part}")).first()[0] for part in ("train", "test")}
+    scores = {r["part"]: r["accuracy"] for r in accuracies(predicted).collect()}
     options = {feature: [] for feature in FEATURES}
     for row in feature_options(groups.where("n_train > 0")).orderBy("feature", "place").collect():
         options[row["feature"]].append(row["value"])

@@ -7,14 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roadtally.session import scratch_path
+
 # A side is broadcast only when Catalyst's size estimate is at most this many bytes.
 BROADCAST_BYTES = 10 * 1024 * 1024
-# Heavy keys reported per side; this bounds the broadcast table of heavy keys.
-MAX_HEAVY_KEYS = 1000
-# Distinct keys each sketch tracks: keys above about 3.5 / TRACKED_KEYS of all rows are always found.
-TRACKED_KEYS = 16384
-# Partial sketches merged before the single final merge.
-SKETCH_GROUPS = 256
 # Rows of one heavy key that one join cell may hold.
 ROWS_PER_CELL = 1_000_000
 
@@ -33,23 +29,14 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
 
 
 def heavy_keys(df: DataFrame, key: str, rows_per_cell: int = ROWS_PER_CELL) -> DataFrame:
-    """At most ``MAX_HEAVY_KEYS`` rows ``(key, cells)``: keys needing more than one join cell.
+    """``(key, cells)`` of every key with more rows than one join cell may hold, counted exactly.
 
-    Frequent-item sketches are built inside the scan tasks and merged in two steps, so the key column is
-    read once and not shuffled. An estimate that is off changes the number of cells, never the result.
+    Only the key column is read; counts are summed in the scan tasks before the shuffle. There are at most
+    rows / ``rows_per_cell`` such keys.
     """
-    sketches = (
-        df.select(key)
-        .where(F.col(key).isNotNull())
-        .groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("sketch_group"))
-        .agg(F.expr(f"approx_top_k_accumulate(`{key}`, {TRACKED_KEYS})").alias("sketch"))
-    )
-    return (
-        sketches.groupBy(F.lit(0).alias("all"))  # grouped, because an empty task cannot combine nothing
-        .agg(F.expr(f"approx_top_k_combine(sketch, {TRACKED_KEYS})").alias("sketch"))
-        .select(F.expr(f"inline(approx_top_k_estimate(sketch, {MAX_HEAVY_KEYS}))"))
-        .where(F.col("count") > rows_per_cell)
-        .select(F.col("item").alias(key), F.ceil(F.col("count") / rows_per_cell).cast("int").alias("cells"))
+    counts = df.select(key).where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+    return counts.where(F.col("n") > rows_per_cell).select(
+        key, F.ceil(F.col("n") / rows_per_cell).cast("int").alias("cells")
     )
 
 
@@ -63,7 +50,7 @@ def _cells(df: DataFrame, key: str, heavy: DataFrame, own: str, other: str, spre
     spread = F.pmod(F.xxhash64(F.spark_partition_id(), *content), F.coalesce(F.col(f"{own}_cells"), F.lit(1)))
     return (
         df.where(F.col(key).isNotNull())
-        .join(F.broadcast(heavy), key, "left")
+        .join(heavy, key, "left")
         .withColumn(f"{own}_cell", spread.cast("int"))
         .withColumn(f"{other}_cell", F.explode(F.sequence(F.lit(0), F.coalesce(f"{other}_cells", F.lit(1)) - 1)))
         .drop("left_cells", "right_cells")
@@ -84,11 +71,15 @@ def salted_join(
     partition key. Every pair meets in exactly one cell, and the copies made are at most ``1/R`` of the output.
     ``spread_*`` name the columns that help choosing a cell (default all; fewer let the scan read less).
     """
-    heavy = (
+    path = scratch_path(left.sparkSession, "heavy-keys")
+    (
         heavy_keys(left, key, rows_per_cell)
         .withColumnRenamed("cells", "left_cells")
         .join(heavy_keys(right, key, rows_per_cell).withColumnRenamed("cells", "right_cells"), key, "full")
+        .write.parquet(path)
     )
+    # A written table has a known size, so Catalyst broadcasts it only where it is small.
+    heavy = left.sparkSession.read.parquet(path)
     cells = ["left_cell", "right_cell"]
     left_rows = _cells(left, key, heavy, "left", "right", left.columns if spread_left is None else spread_left)
     right_rows = _cells(right, key, heavy, "right", "left", right.columns if spread_right is None else spread_right)

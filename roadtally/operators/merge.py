@@ -28,11 +28,11 @@ def rows_touched(spec: RollupSpec, table: DataFrame, delta: DataFrame) -> DataFr
     return table.join(delta.select(*spec.keys), list(spec.keys), "left_semi")
 
 
-def drop_replays(events: DataFrame, identity: Sequence[str] = ("stream", "seq")) -> DataFrame:
-    """One row per event identity; copies collapse in the scan tasks before the shuffle."""
-    return events.dropDuplicates(list(identity))
+def drop_replays(events: DataFrame, delivery: Sequence[str] = ("kafka_ts", "processing_time")) -> DataFrame:
+    """One row per event: copies agree in all columns but the delivery facts, of which the earliest stay.
 
-
-def drop_replays_streaming(events: DataFrame, time_column: str, bound: str) -> DataFrame:
-    """Streaming form: remembers an identity for ``bound`` of event time."""
-    return events.withWatermark(time_column, bound).dropDuplicatesWithinWatermark(["stream", "seq"])
+    Grouping by all other columns hashes, and copies collapse in the scan tasks before the shuffle.
+    """
+    own = [c for c in events.columns if c not in delivery]
+    kept = [F.min(c).alias(c) for c in events.columns if c in delivery]
+    return (events.groupBy(*own).agg(*kept) if kept else events.distinct()).select(*events.columns)

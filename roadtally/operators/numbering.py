@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadtally.session import shared_dir
+from roadtally.session import checkpointed
 
 _ORIGIN = "_origin"
 # monotonically_increasing_id keeps the row position in its low 33 bits.
@@ -36,10 +36,8 @@ def number_rows(df: DataFrame, order_by: Sequence[str], name: str = "seq") -> Da
     The sorted rows are checkpointed, which pins the sampled range bounds; partition sizes then give each
     partition its offset. The window sees one row per partition, not the data.
     """
-    shared_dir(df.sparkSession)
     placed = (
-        total_order(df, order_by)
-        .checkpoint()
+        checkpointed(total_order(df, order_by))
         .withColumn("_partition", F.spark_partition_id())
         .withColumn("_position", F.monotonically_increasing_id() % F.lit(ROWS_PER_PARTITION_ID))
     )

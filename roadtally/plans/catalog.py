@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from roadtally.functions.casts import to_day, to_grid, to_int, to_long
 from roadtally.functions.events import event_time_text, hash_bucket, severity_score, severity_weight
 from roadtally.ml import frame
-from roadtally.ml.report import accuracy, classification_report, confusion
+from roadtally.ml.report import accuracies, classification_report, confusion
 from roadtally.ml.scoring import score
 from roadtally.ml.training import encoder_stages, train, with_prediction
 from roadtally.operators import reports
@@ -35,7 +35,7 @@ from roadtally.operators.rollups import (
 )
 from roadtally.plans.serving import batch_recompute, serve, snapshot
 from roadtally.schemas import EXTRACT_SCHEMAS, wire_names
-from roadtally.session import scratch_path
+from roadtally.session import checkpointed, scratch_path
 from roadtally.sources import fixtures
 from roadtally.sources.envelope import decode, encode
 from roadtally.sources.files import extract, prepare_vehicles, read_extract
@@ -430,6 +430,10 @@ def _groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame.training_groups(fixtures.vehicles(spark, sf_dir), fixtures.accidents(spark, sf_dir))
 
 
+def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frame.split_groups(fixtures.vehicles(spark, sf_dir), fixtures.accidents(spark, sf_dir))
+
+
 @query
 def clean_training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame.training_rows(fixtures.vehicles(spark, sf_dir), fixtures.accidents(spark, sf_dir))
@@ -452,18 +456,18 @@ def feature_options(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def train_test_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frame.split_sizes(frame.split(_groups(spark, sf_dir)))
+    return frame.split_sizes(_split(spark, sf_dir))
 
 
 @query
 def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frame.class_weights(frame.split(_groups(spark, sf_dir)))
+    return frame.class_weights(_split(spark, sf_dir))
 
 
 @query
 def onehot_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The encoded vector of every known feature combination, as a text of zeros and ones."""
-    combinations = _groups(spark, sf_dir).groupBy(*frame.FEATURES).agg(F.sum("n").alias("n")).checkpoint()
+    combinations = checkpointed(_groups(spark, sf_dir).groupBy(*frame.FEATURES).agg(F.sum("n").alias("n")))
     encoded = Pipeline(stages=encoder_stages()).fit(combinations).transform(combinations)
     bits = F.transform(vector_to_array("features"), lambda x: x.cast("int").cast("string"))
     return encoded.select(*frame.FEATURES, "n", F.array_join(bits, "").alias("slots"))
@@ -490,9 +494,7 @@ def severity_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def model_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = _model(spark, sf_dir)
-    predicted = with_prediction(model.groups, model.pipeline, model.classes)
-    parts = [accuracy(confusion(predicted, f"n_{p}")).withColumn("part", F.lit(p)) for p in ("train", "test")]
-    return parts[0].unionByName(parts[1])
+    return accuracies(with_prediction(model.groups, model.pipeline, model.classes))
 
 
 @query

@@ -108,14 +108,11 @@ clean as (
     and vehicle_type not in ('', 'Data missing or out of range', 'Not known', 'Unknown', '-1', 'Other')
     and accident_severity <> '')"""
 GROUPS = f"groups as (select {DEMOGRAPHIC_KEYS}, count(*) as n from clean group by all)"
-SPLIT = """
-line as (
-  select *, cast(sum(n) over (partition by accident_severity
-      order by md5(concat_ws('|', '42', age_band_of_driver, sex_of_driver, vehicle_type)), age_band_of_driver, sex_of_driver, vehicle_type
-      rows unbounded preceding) as bigint) as upto
-  from groups),
+SPLIT = f"""
 parts as (
-  select *, (20 * upto + 50) // 100 - (20 * (upto - n) + 50) // 100 as n_test from line)"""
+  select {DEMOGRAPHIC_KEYS}, count(*) as n,
+    count(*) filter (where cast('0x' || substr(md5(concat_ws('|', '42', accident_index)), 1, 8) as bigint) % 100 < 20) as n_test
+  from clean group by all)"""
 
 
 def _with(*parts: str) -> str:

@@ -71,7 +71,7 @@ def batch_recompute(events: DataFrame, spec: RollupSpec, stamp: Column) -> DataF
     Events are reduced to their typed contributions before copies meet, which keeps the shuffled rows narrow.
     """
     identity = ["stream", "seq"]
-    return spec.total(drop_replays(spec.contributions(events, by=identity), identity)).withColumn(STAMP, stamp)
+    return spec.total(drop_replays(spec.contributions(events, by=identity))).withColumn(STAMP, stamp)
 
 
 def recompute_all(events: Mapping[str, DataFrame], stamp: Column) -> dict[str, DataFrame]:

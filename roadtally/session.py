@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "roadtally", master: str | None = None, **conf: str) -> SparkSession:
@@ -32,7 +32,10 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local master may go without: there a temporary folder is set once and reused.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(configured)  # set on the session after its context was made
+    configured = configured or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
@@ -41,6 +44,12 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows computed once and cut off from their lineage, in the shared folder."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

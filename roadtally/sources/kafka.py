@@ -4,19 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Where a new query starts, and its rate per micro-batch.
-STARTING_OFFSETS = "latest"
-MAX_OFFSETS_PER_TRIGGER = 10000
 
 
-def source_options(servers: str, topic: str, security: dict[str, str] | None = None) -> dict[str, str]:
-    """Reader options; ``security`` holds ``kafka.``-prefixed client settings from the caller's secret store."""
+def source_options(
+    servers: str,
+    topic: str,
+    security: dict[str, str] | None = None,
+    starting_offsets: str = "earliest",
+    max_offsets_per_trigger: int | None = None,
+) -> dict[str, str]:
+    """Reader options that lose nothing: from the topic's start, at the cluster's rate, failing on lost offsets.
+
+    ``security`` holds ``kafka.``-prefixed client settings from the caller's secret store. A reader that may miss what
+    is already in the topic, or must spare the broker, says so.
+    """
+    rate = {"maxOffsetsPerTrigger": str(max_offsets_per_trigger)} if max_offsets_per_trigger else {}
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
-        "startingOffsets": STARTING_OFFSETS,
-        "failOnDataLoss": "false",
-        "maxOffsetsPerTrigger": str(MAX_OFFSETS_PER_TRIGGER),
+        "startingOffsets": starting_offsets,
+        "failOnDataLoss": "true",
+        **rate,
         **(security or {}),
     }
 

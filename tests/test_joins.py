@@ -36,11 +36,17 @@ def test_salted_join_is_the_bag_join(spark, copies, rows_per_cell):
     assert counted(salted_join(left, right, "k", rows_per_cell).select("k", "v", "p")) == expected
 
 
-def test_heavy_keys_are_found_and_bounded(spark):
+def test_heavy_keys_are_found(spark):
     heavy = {r["k"]: r["cells"] for r in heavy_keys(children(spark), "k", 100).collect()}
     assert heavy == {"7": 11}
 
 
+def test_thousands_of_heavy_keys_are_all_found(spark):
+    rows = spark.range(0, 36_000).select((F.col("id") % 3000).cast("string").alias("k"))
+    assert {r["cells"] for r in heavy_keys(rows, "k", 4).collect()} == {3}
+    assert heavy_keys(rows, "k", 4).count() == 3000
+
+
 def test_join_with_an_empty_side(spark):
     left, right = children(spark), parents(spark, 0)
     assert salted_join(left.limit(0), right, "k").count() == 0

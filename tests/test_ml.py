@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadtally.ml import frame
-from roadtally.ml.report import accuracy, classification_report, confusion
+from roadtally.ml.report import classification_report, confusion
 from roadtally.ml.scoring import describe, load_newest, newest_version, score
 from roadtally.ml.training import retrain, save, train, with_prediction
 
@@ -50,17 +50,17 @@ def test_groups_are_the_cleaned_join(spark, groups):
     assert not {"", *frame.REJECTED} & {v for row in rows for v in row}
 
 
-def test_split_is_exact_per_class(spark, groups):
+def test_split_draws_rows_at_the_same_rate(spark, groups):
     sizes = Counter()
     for g in groups:
         assert 0 <= g["n_test"] <= g["n"] and g["n_train"] + g["n_test"] == g["n"]
         sizes[g[frame.TARGET], "n"] += g["n"]
         sizes[g[frame.TARGET], "test"] += g["n_test"]
     for label in {g[frame.TARGET] for g in groups}:
-        assert sizes[label, "test"] == (20 * sizes[label, "n"] + 50) // 100
-    plain = spark.createDataFrame(groups).select(*frame.FEATURES, frame.TARGET, "n")
-    other_seed = frame.split(plain, seed=7).select("n_test").collect()
-    assert sum(r[0] for r in other_seed) == sum(g["n_test"] for g in groups)
+        assert abs(sizes[label, "test"] - 0.2 * sizes[label, "n"]) < 4 * (0.16 * sizes[label, "n"]) ** 0.5
+    other_seed = frame.split_groups(*data(spark), seed=7).select("n", "n_test").collect()
+    assert sum(r["n"] for r in other_seed) == sum(g["n"] for g in groups)
+    assert sorted(r["n_test"] for r in other_seed) != sorted(g["n_test"] for g in groups)
 
 
 def test_class_weights_by_hand(spark):
@@ -111,7 +111,7 @@ def test_report_by_hand(spark):
     report = {r["class"]: r.asDict() for r in classification_report(matrix).collect()}
     assert report["a"]["precision"] == pytest.approx(8 / 17) and report["a"]["recall"] == pytest.approx(0.8)
     assert report["c"] == {"class": "c", "precision": 0.0, "recall": 0.0, "f1": 0.0, "support": 5}
-    assert report["accuracy"]["f1"] == pytest.approx(14 / 25) == accuracy(matrix).first()[0]
+    assert report["accuracy"]["f1"] == pytest.approx(14 / 25)
     assert report["macro avg"]["recall"] == pytest.approx((0.8 + 0.6 + 0) / 3)
     assert report["weighted avg"]["recall"] == pytest.approx(14 / 25)
 
@@ -130,9 +130,8 @@ def test_score_and_versions(spark, model, tmp_path):
         [(1, AGES[0], "Male", "Bus"), (2, "new", "new", "new"), (3, None, None, None)], "id int, age_band_of_driver string, sex_of_driver string, vehicle_type string"
     )
     scored = {r["id"]: r for r in score(rows, pipeline, metadata).collect()}
-    assert scored == {r["id"]: r for r in score(rows, pipeline, metadata, max_cases=1).collect()}  # by table or by row
     plan = score(rows, pipeline, metadata)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan
+    assert "Join" not in plan and "Exchange" not in plan  # the model is applied where the rows are
     first = scored[1]
     assert first["predicted_severity"] == "Fatal" == first["ranked"][0]["class"] == max(first["probabilities"], key=first["probabilities"].get)
     assert sum(first["probabilities"].values()) == pytest.approx(1)

@@ -11,6 +11,7 @@ from roadtally.sources.files import (
     prepare_vehicles,
     read_csv,
     read_extract,
+    read_extract_skipping,
     write_csv,
 )
 from roadtally.sources.kafka import read_stream, source_options
@@ -94,10 +95,13 @@ def test_messages_of_a_key_stay_together(spark):
 
 def test_extract_folder(spark, tmp_path):
     vehicles = micro.vehicles(spark)
-    extract(vehicles, "vehicles").write.parquet(f"{tmp_path}/x/day=1")
-    extract(vehicles, "vehicles").write.parquet(f"{tmp_path}/x/day=2/hour=3")
+    extract(vehicles, "vehicles").coalesce(1).write.parquet(f"{tmp_path}/x/day=1")
+    extract(vehicles, "vehicles").coalesce(1).write.parquet(f"{tmp_path}/x/day=2/hour=3")
     (tmp_path / "x" / "broken.parquet").write_bytes(b"not parquet")
-    assert read_extract(spark, f"{tmp_path}/x", "vehicles").count() == 10
+    with pytest.raises(Exception, match="broken.parquet"):
+        read_extract(spark, f"{tmp_path}/x", "vehicles").collect()
+    rows, unread = read_extract_skipping(spark, f"{tmp_path}/x", "vehicles")
+    assert rows.count() == 10 and [r["path"].rsplit("/", 1)[1] for r in unread.collect()] == ["broken.parquet"]
     (tmp_path / "empty").mkdir()
     empty = read_extract(spark, f"{tmp_path}/empty", "accidents")
     assert empty.isEmpty() and empty.columns == ["accident_index", "accident_severity"]
@@ -105,8 +109,9 @@ def test_extract_folder(spark, tmp_path):
 
 def test_kafka(spark):
     options = source_options("host:9093", "accidents", {"kafka.security.protocol": "SASL_SSL"})
-    assert options["startingOffsets"] == "latest" and options["failOnDataLoss"] == "false"
-    assert options["maxOffsetsPerTrigger"] == "10000" and options["kafka.security.protocol"] == "SASL_SSL"
+    assert options["startingOffsets"] == "earliest" and options["failOnDataLoss"] == "true"
+    assert "maxOffsetsPerTrigger" not in options and source_options("h", "t", max_offsets_per_trigger=5)["maxOffsetsPerTrigger"] == "5"
+    assert options["kafka.security.protocol"] == "SASL_SSL"
     with pytest.raises(Exception, match="(?i)kafka"):  # the connector is not installed here
         read_stream(spark, "host:9092", "accidents")
 

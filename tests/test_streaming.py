@@ -6,9 +6,10 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from roadtally.operators.merge import drop_replays, drop_replays_streaming
+from roadtally.operators.merge import drop_replays
 from roadtally.operators.rollups import CONDITIONS, GEO, HOTSPOTS, PROFILE, STAMP
 from roadtally.plans.serving import batch_recompute, recompute_all
+from roadtally.schemas import MESSAGE_SCHEMA
 from roadtally.sources.envelope import decode, encode
 from roadtally.sources.files import read_extract
 from roadtally.streaming.jobs import (
@@ -19,6 +20,7 @@ from roadtally.streaming.jobs import (
     start_rollups,
     stream_join,
 )
+from roadtally.streaming.replays import SeenEvents
 from roadtally.streaming.state import RollupTable
 from tests import micro
 
@@ -109,11 +111,32 @@ def test_replays_are_dropped(spark, tmp_path):
         f"{tmp_path}/t",
         f"{tmp_path}/c",
         True,
-        transform=lambda e: drop_replays_streaming(e, "kafka_ts", "1 hour"),
+        seen=SeenEvents(spark, f"{tmp_path}/seen", bucket=4),
     ).awaitTermination()
     assert measures(RollupTable(spark, f"{tmp_path}/t", GEO).read()) == micro.GEO
 
 
+def test_late_events_that_were_never_seen_count(spark, tmp_path):
+    """Old time stamps after new ones, each message twice, a stop in between and a batch repeated by hand."""
+    rows = messages(micro.accidents(spark).coalesce(1), "accidents").collect()
+    late = F.col("timestamp") - F.expr("interval 3 hours")
+    seen = SeenEvents(spark, f"{tmp_path}/seen")
+    for part in (rows[:3], rows, rows):
+        sent = spark.createDataFrame(part, MESSAGE_SCHEMA)
+        (sent.withColumn("timestamp", late) if part is rows else sent).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        start_rollups(
+            replay_files(spark, f"{tmp_path}/in"), [GEO], f"{tmp_path}/t", f"{tmp_path}/c", True, compact_every=2, seen=seen
+        ).awaitTermination()
+    assert measures(RollupTable(spark, f"{tmp_path}/t", GEO).read()) == micro.GEO
+    events = decode(spark.createDataFrame(rows, MESSAGE_SCHEMA), "accidents", GEO.inputs)
+    other = SeenEvents(spark, f"{tmp_path}/again")
+    for _ in range(2):
+        fresh = other.unseen(events, "q", 0)
+        assert fresh.count() == 6
+        other.store(fresh, "q", 0)
+    assert other.unseen(events, "q", 1).count() == 0
+
+
 def test_extract_without_replays(spark, tmp_path):
     once = messages(micro.vehicles(spark).coalesce(1), "vehicles")
     for _ in range(2):
@@ -124,7 +147,7 @@ def test_extract_without_replays(spark, tmp_path):
         f"{tmp_path}/out",
         f"{tmp_path}/c",
         True,
-        transform=lambda e: drop_replays_streaming(e, "kafka_ts", "1 hour"),
+        seen=SeenEvents(spark, f"{tmp_path}/seen"),
     ).awaitTermination()
     assert read_extract(spark, f"{tmp_path}/out", "vehicles").count() == 5
 
