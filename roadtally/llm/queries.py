@@ -90,4 +90,40 @@ QUERIES = {
     "pipeline": pipeline,
 }
 
-ORACLE: dict[str, str] = {}
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+# Five hex digits of a SHA-1 are four base32 digits.
+_DIGEST = " || ".join(
+    f"substr('{_BASE32}', cast((cast('0x' || substr(sha, {5 * i + 1}, 5) as bigint) // {32 ** (3 - j)}) % 32 as integer) + 1, 1)"
+    for i in range(8)
+    for j in range(4)
+)
+_WORDS = (
+    r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+    r" '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+ORACLE: dict[str, str] = {
+    "op2_warc": f"""
+        with payloads as (select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as sha from pages),
+        firsts as (select sha, min(page_id) as first from payloads group by sha)
+        select page_id, cast(payload_bytes as bigint) as payload_bytes, {_DIGEST} as payload_digest,
+          case when page_id <> first then 'revisit' else 'response' end as record_type,
+          case when page_id <> first then first end as refers_to
+        from payloads join firsts using (sha)""",
+    "op5_decontamination": f"""
+        with docs as (select row_number() over () as rid, doc_id, {_WORDS} as w from documents),
+        items as (select item_id, {_WORDS} as w from benchmark),
+        windows as (
+          select distinct item_id, least(len(w), 10) as n, list_slice(w, s, s + 9) as phrase
+          from (select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as s from items where len(w) > 0)),
+        sizes as (select distinct n from windows),
+        runs as (select rid, n, s, list_slice(w, s, s + n - 1) as phrase
+          from (select rid, w, n, unnest(range(1, len(w) - n + 2)) as s from docs, sizes where len(w) >= n)),
+        found as (select rid, item_id, s, windows.n as n from runs join windows using (phrase)),
+        hits as (select rid, count(distinct p) as n_hit from (select rid, unnest(range(s, s + n)) as p from found) group by rid),
+        named as (select rid, count(*) as n_items, string_agg(item, ',' order by item) as listed
+          from (select distinct rid, cast(item_id as varchar) as item from found) group by rid)
+        select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+          sha256(coalesce(listed, '')) as items_sha256, n_hit is not null as contaminated
+        from docs left join hits using (rid) left join named using (rid)""",
+}
