@@ -44,7 +44,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deal_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with the shard and the slot in it."""
+    """All documents with the shard and the slot in it, in place of columns of those names."""
+    docs = docs.drop("shard", "slot")
     return sharding.shard_rows(docs, SHARDS, docs.columns).select("row.*", "shard", "slot")
 
 
