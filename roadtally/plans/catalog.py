@@ -33,13 +33,14 @@ from roadtally.operators.rollups import (
     RollupSpec,
     demographics,
 )
-from roadtally.plans.serving import batch_recompute, serve, snapshot
+from roadtally.plans.serving import batch_recompute, serve, snapshot, store, stored
 from roadtally.schemas import EXTRACT_SCHEMAS, wire_names
 from roadtally.session import checkpointed, scratch_path
 from roadtally.sources import fixtures
-from roadtally.sources.envelope import decode, encode
-from roadtally.sources.files import extract, prepare_vehicles, read_extract
+from roadtally.sources.envelope import by_key, decode, encode, first_records
+from roadtally.sources.files import extract, lower_names, prepare_vehicles, read_csv, read_extract
 from roadtally.streaming.jobs import replay_files, start_extract, start_rollups
+from roadtally.streaming.replays import SeenEvents
 from roadtally.streaming.state import RollupTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +50,7 @@ QUERIES: dict[str, Query] = {}
 SLICES = 4
 FIRST_STAMP = "2024-01-01 00:00:00"
 CUT_OVER = "1998-07-01"
+RECORD_CAP = 500
 
 
 def query(build: Query) -> Query:
@@ -91,6 +93,13 @@ def _demographics(spark: SparkSession, sf_dir: str, day: Column | None = None) -
     )
 
 
+def _kept(spark: SparkSession, table: DataFrame, period: str) -> DataFrame:
+    """The table as stored and read back."""
+    path = scratch_path(spark, "stored")
+    store(table, path, period)
+    return stored(spark, path, table.schema)
+
+
 # --- preparation, envelope, extracts -------------------------------------------------------------------------
 
 
@@ -99,6 +108,31 @@ def prep_filter_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare_vehicles(fixtures.vehicles(spark, sf_dir))
 
 
+@query
+def csv_latin1_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accidents as a Latin-1 CSV file with wire names, of which three columns are read back."""
+    path, names = scratch_path(spark, "csv"), wire_names("accidents")
+    rows = fixtures.accidents(spark, sf_dir).withColumn("road_type", F.concat("road_type", F.lit(" é")))
+    wired = rows.select(*[F.col(c).alias(names[c]) for c in rows.columns])
+    wired.write.option("header", True).option("encoding", "ISO-8859-1").option("emptyValue", "").csv(path)
+    wanted = ("accident_index", "accident_severity", "road_type")
+    return lower_names(read_csv(spark, path, "accidents", wanted, encoding="ISO-8859-1"))
+
+
+@query
+def messages_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages per key, and in how many partitions they lie once routed."""
+    routed = by_key(_messages(spark, sf_dir, "vehicles")).withColumn("partition", F.spark_partition_id())
+    return routed.groupBy("key").agg(F.count_distinct("partition").alias("partitions"), F.count("*").alias("n"))
+
+
+@query
+def record_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first records of a numbered stream; the cap is the operator."""
+    events = decode(_messages(spark, sf_dir, "vehicles"), "vehicles", ["accident_index"])
+    return first_records(events, RECORD_CAP).select("seq", "accident_index")
+
+
 @query
 def event_time_text_(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = event_time_text("date", "time")
@@ -267,7 +301,7 @@ def table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         tables[CONDITIONS.name],
         tables[HOTSPOTS.name],
         tables[PROFILE.name],
-        _demographics(spark, sf_dir),
+        _kept(spark, _demographics(spark, sf_dir), "processing_date"),
     )
 
 
@@ -318,7 +352,18 @@ def latest_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each micro-batch is joined on a day of its own; the newest days come first."""
     day = F.date_add(F.lit(FIRST_STAMP[:10]).cast("date"), hash_bucket("accident_index", SLICES).cast("int"))
     table = _demographics(spark, sf_dir, day).withColumn(STAMP, F.col("processing_date").cast("timestamp_ntz"))
-    return reports.latest(table, DEMOGRAPHIC_KEYS)
+    return reports.latest(_kept(spark, table, "processing_date"), DEMOGRAPHIC_KEYS)
+
+
+@query
+def stored_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table of several days, one of which is first stored wrongly and then replaced."""
+    day = F.date_add(F.lit(FIRST_STAMP[:10]).cast("date"), hash_bucket("accident_index", SLICES).cast("int"))
+    table, path = _demographics(spark, sf_dir, day), scratch_path(spark, "stored")
+    store(table.withColumn("joined_count", -F.col("joined_count")), path, "processing_date")
+    store(table, path, "processing_date")
+    store(table.where(F.col("processing_date") == F.lit(FIRST_STAMP[:10])), path, "processing_date")
+    return stored(spark, path, table.schema)
 
 
 # --- join, state ---------------------------------------------------------------------------------------------
@@ -392,6 +437,52 @@ def stream_kpi_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, sf_dir, GEO)
 
 
+def _replayed(spark: SparkSession, sf_dir: str, stream: str) -> DataFrame:
+    """All messages of a stream delivered twice; the second time some of the stamps are hours older."""
+    path = scratch_path(spark, "replayed")
+    once = _messages(spark, sf_dir, stream)
+    older = F.when(hash_bucket("key", 2) == 0, F.expr("timestamp - interval 5 hours")).otherwise(F.col("timestamp"))
+    for sent in (once, once.withColumn("timestamp", older)):
+        sent.repartition(SLICES, "key", "value").write.mode("append").parquet(path)
+    return replay_files(spark, path, files_per_trigger=2)
+
+
+@query
+def stream_replayed_kpi_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, checkpoint = scratch_path(spark, "state"), scratch_path(spark, "checkpoint")
+    seen = SeenEvents(spark, scratch_path(spark, "seen"), bucket=10_000)
+    messages = _replayed(spark, sf_dir, "accidents")
+    start_rollups(messages, [GEO], root, checkpoint, available_now=True, stamp=_stamp, seen=seen).awaitTermination()
+    return RollupTable(spark, root, GEO).read().drop(STAMP)
+
+
+@query
+def stream_replayed_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, checkpoint = scratch_path(spark, "extract"), scratch_path(spark, "checkpoint")
+    seen = SeenEvents(spark, scratch_path(spark, "seen"), bucket=10_000)
+    messages = _replayed(spark, sf_dir, "vehicles")
+    start_extract(messages, "vehicles", path, checkpoint, available_now=True, seen=seen).awaitTermination()
+    return read_extract(spark, path, "vehicles")
+
+
+@query
+def stream_restart_kpi_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream stopped and started again, a batch delivered once more, and compaction before and after."""
+    path, root, checkpoint = (scratch_path(spark, n) for n in ("messages", "state", "checkpoint"))
+    messages = _messages(spark, sf_dir, "accidents")
+    for part in range(2):
+        half = messages.where(hash_bucket("key", 2) == part)
+        half.repartition(SLICES, "key", "value").write.mode("append").parquet(path)
+        running = start_rollups(
+            replay_files(spark, path, 1), [GEO], root, checkpoint, available_now=True, stamp=_stamp, compact_every=3
+        )
+        running.awaitTermination()
+        again = RollupTable(spark, root, GEO)
+        again.add(GEO.aggregate(decode(half, "accidents", GEO.inputs)), str(running.id), 0, _stamp(0))
+        again.compact()
+    return RollupTable(spark, root, GEO).read().drop(STAMP)
+
+
 @query
 def stream_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, sf_dir, CONDITIONS)
@@ -558,4 +649,5 @@ def batch_recompute_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def serve_batch_or_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = GEO.aggregate(_events(spark, sf_dir, GEO)).withColumn(STAMP, _stamp(0))
-    return serve(batch, _table(spark, sf_dir, GEO), "event_date", F.lit(CUT_OVER).cast("date"))
+    layers = [_kept(spark, table, "event_date") for table in (batch, _table(spark, sf_dir, GEO))]
+    return serve(*layers, "event_date", F.lit(CUT_OVER).cast("date"))

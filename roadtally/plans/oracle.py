@@ -161,6 +161,9 @@ VEHICLE_EXTRACT = f"{_with(VEHICLES)} select accident_index, age_band_of_driver,
 
 ORACLE: dict[str, str] = {
     "prep_filter_sort": f"{_with(VEHICLES)} select * from vehicles where not starts_with(accident_index, '2004') order by accident_index",
+    "csv_latin1_subset": f"{_with(ACCIDENTS)} select accident_index, accident_severity, concat(road_type, ' é') as road_type from accidents",
+    "messages_by_key": f"{_with(VEHICLES)} select accident_index as key, cast(1 as bigint) as partitions, count(*) as n from vehicles group by 1",
+    "record_cap": f"{_with(VEHICLES)} select * from (select {VEHICLE_SEQ} as seq, accident_index from vehicles) numbered where seq < 500",
     "event_time_text": f"{_with(ACCIDENTS)} select accident_index, {ENVELOPE_TIME} as event_time from accidents",
     "envelope_encode": f"""{_with(ACCIDENTS)} select accident_index as key, {ACCIDENT_SEQ} as seq, 'accidents' as stream,
         {ENVELOPE_TIME} as event_time, accident_severity, "date", local_authority_district, speed_limit from accidents""",
@@ -213,6 +216,10 @@ ORACLE: dict[str, str] = {
         counted as (select day, {DEMOGRAPHIC_KEYS}, count(*) as joined_count from joined group by all)
         select strftime(day, '%Y-%m-%d') as processing_date, {DEMOGRAPHIC_KEYS}, joined_count, {ISO_STAMP.format('day')} as inserted_at
         from counted order by day desc, {DEMOGRAPHIC_KEYS} limit 50""",
+    "stored_demographics": f"""{_with(ACCIDENTS, VEHICLES)},
+        joined as (select strftime(date '2024-01-01' + cast({_hash(4)} as integer), '%Y-%m-%d') as processing_date, {DEMOGRAPHIC_KEYS}
+          from vehicles join accidents using (accident_index))
+        select processing_date, {DEMOGRAPHIC_KEYS}, count(*) as joined_count from joined group by all""",
     "accident_vehicle_join": f"""{_with(ACCIDENTS, VEHICLES)} select accident_index, age_band_of_driver, sex_of_driver, vehicle_type, accident_severity
         from vehicles join accidents using (accident_index)""",
     "additive_merge": GEO_RESULT,
@@ -230,6 +237,9 @@ ORACLE: dict[str, str] = {
         select {GEO_KEYS}, {GEO_MEASURES}, {STAMPED} from touched""",
     "dedup_events": "select event_type as stream, event_id as seq, user_id, value, props from events",
     "stream_kpi_geo": GEO_RESULT,
+    "stream_replayed_kpi_geo": GEO_RESULT,
+    "stream_replayed_extract": VEHICLE_EXTRACT,
+    "stream_restart_kpi_geo": GEO_RESULT,
     "stream_conditions": CONDITION_RESULT,
     "stream_hotspots": HOTSPOT_RESULT,
     "stream_vehicle_profile": PROFILE_RESULT,

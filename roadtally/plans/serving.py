@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roadtally.operators.merge import drop_replays
 from roadtally.operators.reports import (
@@ -78,6 +79,18 @@ def recompute_all(events: Mapping[str, DataFrame], stamp: Column) -> dict[str, D
     return {name: batch_recompute(events[spec.stream], spec, stamp) for name, spec in ROLLUPS.items()}
 
 
+def store(table: DataFrame, path: str, period: str) -> None:
+    """Write a batch table below ``path``; the periods (say days) that it holds replace those stored before."""
+    placed = table.withColumn("_period", F.col(period).cast("string")).repartition("_period")
+    writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("_period").parquet(path)
+
+
+def stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A stored table with the columns of ``schema``: a plain scan, without the join or rollup behind it."""
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+
+
 def serve(batch: DataFrame, stream: DataFrame, period: str, cut_over: Column) -> DataFrame:
     """Batch rows before the cut-over, stream rows from it on: a union of two filtered scans, no join.
 
