@@ -1,6 +1,9 @@
 """Plans: narrow scans, no products, no global windows over data, consistent documents."""
 
 import json
+import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -108,3 +111,25 @@ def test_serve_takes_each_side_of_the_cut(spark, sf_dir):
     served = serve(table, stream, "event_date", F.lit("1998-07-01").cast("date"))
     assert served.count() == table.count()
     assert served.where("(layer = 'stream') != (accident_count = 0)").isEmpty()
+
+
+@pytest.mark.parametrize("name", ["dedup_events", "batch_recompute", "batch_recompute_profile"])
+def test_copies_are_hashed_away(spark, sf_dir, name):
+    assert "SortAggregate" not in plan(queries()[name](spark, sf_dir))
+
+
+def test_reads_of_stored_tables_have_no_join(spark, sf_dir):
+    for name in ("latest_demographics", "serve_batch_or_stream"):
+        assert "Join" not in plan(queries()[name](spark, sf_dir))
+
+
+def test_a_query_runs_first_in_a_session_without_settings():
+    code = (
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "from __spark_entry__ import queries\n"
+        "print('ROWS', queries()['onehot_features'](spark, '/root/testdata/sf0.001').count())\n"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=300)
+    assert "ROWS" in done.stdout, done.stderr[-2000:]
