@@ -85,16 +85,13 @@ def personalised_rank(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS,
     """
     out = edges.groupBy("src").agg(F.sum("weight").alias("total"))
     shares = written(edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("share")), "shares")
-    seeds = written(seeds.select("host", "seed"), "seeds")
+    base = written(seeds.select("host", ((1 - damping) * F.col("seed")).alias("part")), "seeds")
     ranks = seeds.select("host", F.col("seed").alias("rank"))
     for _ in range(rounds):
-        moved = (
-            shares.join(ranks, shares["src"] == ranks["host"])
-            .groupBy(F.col("dst").alias("host"))
-            .agg(F.sum(F.col("rank") * F.col("share")).alias("moved"))
+        moved = shares.join(ranks, shares["src"] == ranks["host"]).select(
+            F.col("dst").alias("host"), (damping * F.col("rank") * F.col("share")).alias("part")
         )
-        rank = damping * F.coalesce("moved", F.lit(0.0)) + (1 - damping) * F.coalesce("seed", F.lit(0.0))
-        ranks = written(moved.join(seeds, "host", "full").select("host", rank.alias("rank")), "ranks")
+        ranks = written(moved.union(base).groupBy("host").agg(F.sum("part").alias("rank")), "ranks")
     return ranks
 
 
