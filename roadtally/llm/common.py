@@ -16,7 +16,7 @@ from roadtally.session import scratch_path
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 # Text handled at a time inside a task; bounds what numpy holds beside the Arrow batch.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _ODD_1 = np.uint64(0x9E3779B97F4A7C15)
 _ODD_2 = np.uint64(0xBF58476D1CE4E5B9)
@@ -55,6 +55,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.slice(start, stop - start)
             start, base = stop, int(ends[stop - 1])
+        pa.default_memory_pool().release_unused()
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -37,6 +37,8 @@ MAX_PHRASES = 2000
 MIN_ROWS, MIN_SHARE, MIN_WEIGHT, CHANCE = 3, 0.02, 1.0, 0.1
 # Standard errors taken off a term's log odds.
 CAUTION = 1.5
+# Terms that a counting task holds at a time.
+HELD_TERMS = 100_000
 PREFIXES = (4, 5, 6, 7)
 PRIOR_WORDS = 20
 CUT_SCORE = 0.3
@@ -125,17 +127,23 @@ def terms_of(text: str) -> set[str]:
 
 
 def _counts_by_label(batches: Iterable[pa.RecordBatch], items) -> Iterator[pa.RecordBatch]:
-    counts = (Counter(), Counter())
+    """Rows per term and label, in parts of about ``HELD_TERMS`` terms that Spark sums; a task holds no more."""
     table = Folding()
+    counts = (Counter(), Counter())
+
+    def part() -> pa.RecordBatch:
+        terms = list(counts[0].keys() | counts[1].keys())
+        numbers = [pa.array([c[t] for t in terms], pa.int64()) for c in (counts[1], counts[0])]
+        counts[0].clear()
+        counts[1].clear()
+        return pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), *numbers], ["term", "toxic_rows", "clean_rows"])
+
     for batch in slices(iter(batches), "text"):
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
             counts[toxic].update(items(folded(text, table)))
-    terms = list(counts[0].keys() | counts[1].keys())
-    for at in range(0, len(terms), 50_000):
-        part = terms[at : at + 50_000]
-        yield pa.RecordBatch.from_pydict(
-            {"term": part, "toxic_rows": [counts[1][t] for t in part], "clean_rows": [counts[0][t] for t in part]}
-        )
+            if len(counts[0]) + len(counts[1]) >= HELD_TERMS:
+                yield part()
+    yield part()
 
 
 _COUNTS = "term string, toxic_rows long, clean_rows long"
