@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from roadtally.llm.common import written
 
 ROW_BYTES = 8
-ROWS_PER_PIECE = 2_000_000
+ROWS_PER_PIECE = 100_000
 # Candidates per boundary and round; tolerances as shares of a shard and of a piece.
 PROBES = 15
 SHARD_TOLERANCE, PIECE_TOLERANCE = 0.0005, 0.02
