@@ -9,6 +9,7 @@ from roadtally.llm import decontamination, mixing, passages, secrets, sharding,
 from roadtally.llm.common import table
 from roadtally.llm.jaccard_join import jaccard_components
 from roadtally.llm.link_graph import judge_urls
+from roadtally.llm.suffix_dedup import remove_repeats
 
 SHARDS = 24
 
@@ -70,6 +71,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -87,6 +92,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
     "op10_url_filter": op10_url_filter,
+    "op12_suffix_dedup": op12_suffix_dedup,
     "pipeline": pipeline,
 }
 
