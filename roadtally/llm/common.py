@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def released(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete written tables that nothing will read again: everything made from them must be written itself.
+
+    The collection lets Spark's cleaner see that the shuffles behind them are unreachable and delete their files too.
+    """
+    for table_ in tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(table_.scratch_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def ascii_lower(text: Column) -> Column:

@@ -1,16 +1,16 @@
 """Suffix arrays by induced sorting, bucket by bucket, and common prefixes in text order, for one shard in memory.
 
 Suffixes are classified as rising (S) or falling (L); the leftmost rising ones (LMS) are sorted by naming their
-substrings and sorting the shortened string of names in the same way, and all others are induced from them: falling ones
-in a pass over the buckets from the left, rising ones in a pass from the right. Within a bucket the steps are array
-operations; a run of equal symbols is laid out at once, however long it is.
+substrings and sorting the shortened string of names (in the same way, or by doubling if there are many names), and all
+others are induced from them: falling ones in a pass over the buckets from the left, rising ones in a pass from the
+right. Within a bucket the steps are array operations; a run of equal symbols is laid out at once, however long it is.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-# Largest alphabet that is sorted as it is; names beyond it are written as two digits.
+# Strings over larger alphabets have too many buckets to visit one at a time; they are sorted by doubling.
 ALPHABET = 1024
 
 
@@ -58,28 +58,29 @@ def _induced(s: np.ndarray, size: int, rises: np.ndarray, first: np.ndarray, lms
         sources = np.concatenate((out[low:high], lms[given[c] : given[c + 1]]))
         symbols = before[sources]
         up = symbols > c
-        if up.any():
-            symbols, positions, starts, counts = _grouped(symbols[up], sources[up] - 1)
-            out[head[symbols] + np.arange(len(symbols)) - np.repeat(starts, counts)] = positions
-            head[symbols[starts]] += counts
+        _put(out, head, symbols[up], sources[up] - 1)
 
-    tail = np.zeros(size, np.int64)  # rising suffixes found so far; they fill each bucket from its right end
+    tail = ends.copy()  # rising suffixes fill each bucket from its right end
     for c in np.flatnonzero(falling + rising)[::-1]:
         if rising[c]:
-            found = out[ends[c] - tail[c] : ends[c]][::-1]
+            found = out[tail[c] : ends[c]][::-1]
             out[middles[c] : ends[c]] = _laid_out(found, first)[::-1]
         sources = out[middles[c] - falling[c] : ends[c]][::-1]
         symbols = before[sources]
         down = (symbols < c) & (symbols >= 0)
-        sources, symbols = sources[down] - 1, symbols[down]
-        if len(sources):
-            symbols, positions, starts, counts = _grouped(symbols, sources)
-            turn = np.arange(len(symbols)) - np.repeat(starts, counts)
-            out[ends[symbols] - 1 - tail[symbols] - turn] = positions
-            tail[symbols[starts]] += counts
+        _put(out, tail, symbols[down], sources[down] - 1, -1)
     return out
 
 
+def _put(out: np.ndarray, edge: np.ndarray, symbols: np.ndarray, positions: np.ndarray, step: int = 1) -> None:
+    """Add positions to their symbols' buckets in the given order, from the left or (``step`` -1) from the right end."""
+    if len(symbols):
+        symbols, positions, starts, counts = _grouped(symbols, positions)
+        turn = np.arange(len(symbols)) - np.repeat(starts, counts)
+        out[edge[symbols] + (turn if step > 0 else -1 - turn)] = positions
+        edge[symbols[starts]] += step * counts
+
+
 def _grouped(symbols: np.ndarray, positions: np.ndarray) -> tuple[np.ndarray, ...]:
     """Both sorted by symbol and otherwise in order, with the start and the length of each symbol's group."""
     order = np.argsort(symbols.astype(np.uint16) if symbols.max() < 1 << 16 else symbols, kind="stable")
@@ -116,6 +117,8 @@ def suffix_array(s: np.ndarray, size: int) -> np.ndarray:
     n = len(s)
     if n < 2:
         return np.arange(n, dtype=np.int32)
+    if size > ALPHABET:
+        return _doubled(s, size)
     rises, first = _classes(s)
     lms = np.flatnonzero(rises[1:] & ~rises[:-1]).astype(np.int32) + 1
     if len(lms) > 1:
@@ -127,11 +130,11 @@ def suffix_array(s: np.ndarray, size: int) -> np.ndarray:
         if distinct == len(lms):
             lms = ordered
         else:
-            lms = _sorted_by_names(lms, ordered, names, distinct, n)
+            lms = _sorted_by_names(lms, ordered, names, distinct)
     return _induced(s, size, rises, first, lms)
 
 
-def _sorted_by_names(lms: np.ndarray, ordered: np.ndarray, names: np.ndarray, distinct: int, n: int) -> np.ndarray:
+def _sorted_by_names(lms: np.ndarray, ordered: np.ndarray, names: np.ndarray, distinct: int) -> np.ndarray:
     """The LMS positions in the order of their suffixes, given the names of their substrings.
 
     No comparison goes beyond a name that occurs once, so a name that follows it and occurs once itself is left out of the
@@ -143,38 +146,51 @@ def _sorted_by_names(lms: np.ndarray, ordered: np.ndarray, names: np.ndarray, di
     places, short = np.flatnonzero(kept), names[kept]
     used = np.zeros(distinct, bool)
     used[short] = True
-    short = (np.cumsum(used) - 1)[short]
-    distinct = int(used.sum())
-    base = int(np.ceil(distinct**0.5))
-    if distinct <= ALPHABET or 2 * len(short) > 0.8 * n:
-        order = suffix_array(short, distinct)
-    else:
-        order = suffix_array(np.stack(np.divmod(short, base), axis=1).ravel(), base)
-        order = order[order % 2 == 0] // 2
-    order = places[order]
+    order = places[suffix_array((np.cumsum(used) - 1)[short], int(used.sum()))]
     out = ordered.copy()
-    is_alone = np.zeros(n, bool)
+    is_alone = np.zeros(int(lms[-1]) + 1, bool)
     is_alone[lms[alone]] = True
     out[~is_alone[ordered]] = lms[order[~alone[order]]]
     return out
 
 
-def common_prefixes(s: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
-    """By position, how many symbols each suffix shares with the one before it in ``order``, counted up to ``most``.
+def _doubled(s: np.ndarray, size: int) -> np.ndarray:
+    """Suffix array by ranks of ever longer beginnings; only suffixes whose rank is shared are looked at again."""
+    n = len(s)
+    counts = np.bincount(s, minlength=size)
+    rank = (np.cumsum(counts) - counts)[s]
+    open_ = np.flatnonzero(counts[s] > 1)
+    known = 1
+    while len(open_):
+        following = np.where(open_ + known < n, rank[np.minimum(open_ + known, n - 1)] + 1, 0)
+        key = (rank[open_] << 32) | following
+        order = np.argsort(key)
+        open_, key = open_[order], key[order]
+        at = np.arange(len(open_))
+        new = np.append(True, key[1:] != key[:-1])
+        old = np.append(True, key[1:] >> 32 != key[:-1] >> 32)
+        starts = np.maximum.accumulate(np.where(new, at, 0))
+        rank[open_] += starts - np.maximum.accumulate(np.where(old, at, 0))
+        open_ = open_[~(new & np.append(new[1:], True))]
+        known *= 2
+    out = np.empty(n, np.int32)
+    out[rank] = np.arange(n)
+    return out
+
 
-    The permuted order (that of the text) lets whole stretches be compared at once.
+def common_prefixes(data: bytes, places: np.ndarray, before: np.ndarray, most: int) -> np.ndarray:
+    """How many bytes, up to ``most``, are alike from each place on and from the place of the suffix before it on.
+
+    Places come in the order of the text (permuted), so that neighbours are compared with neighbours; eight bytes at a time.
+    All places leave ``most`` bytes of data, at least eight.
     """
-    n = len(s)
-    before = np.empty(n, np.int64)
-    before[order[1:]] = order[:-1]
-    before[order[:1]] = n
-    padded = np.concatenate((s, np.full(most, -1, s.dtype)))
-    shared = np.zeros(n, np.int64)
-    open_ = np.flatnonzero(before < n)
-    for step in range(most):
-        a, b = padded[open_ + step], padded[np.minimum(before[open_] + step, n + most - 1)]
-        open_ = open_[(a == b) & (a >= 0)]
-        if not len(open_):
-            break
-        shared[open_] = step + 1
+    words = np.ndarray((max(len(data) - 7, 0),), "<u8", data, 0, (1,))
+    shared = np.full(len(places), most, np.int64)
+    at = np.arange(len(places))
+    for step in [*range(0, most - 8, 8), most - 8]:
+        apart = words[places[at] + step] ^ words[before[at] + step]
+        ends = apart != 0
+        lowest = apart[ends] & (~apart[ends] + np.uint64(1))
+        shared[at[ends]] = step + np.bitwise_count(lowest - np.uint64(1)) // 8
+        at = at[~ends]
     return shared

@@ -9,7 +9,9 @@ from roadtally.llm import decontamination, mixing, passages, secrets, sharding,
 from roadtally.llm.common import table
 from roadtally.llm.jaccard_join import jaccard_components
 from roadtally.llm.link_graph import judge_urls
+from roadtally.llm.periodic_runs import periodic_runs
 from roadtally.llm.suffix_dedup import remove_repeats
+from roadtally.llm.whitening import whiten
 
 SHARDS = 24
 
@@ -71,10 +73,18 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(table(spark, sf_dir, "documents"), planted=True)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -92,7 +102,9 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
     "op10_url_filter": op10_url_filter,
+    "op11_whitening": op11_whitening,
     "op12_suffix_dedup": op12_suffix_dedup,
+    "op13_periodic_runs": op13_periodic_runs,
     "pipeline": pipeline,
 }
 

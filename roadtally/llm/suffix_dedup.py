@@ -2,10 +2,10 @@
 
 Each 50-byte window of a text belongs to its anchor, the gram inside it with the smallest hash. Equal windows have equal
 anchors, so only windows whose anchor occurs in two texts can repeat. The stretches of text that such an anchor owns are
-collapsed to distinct ones with their smallest id, and dealt into shards by anchor. Each shard is one string whose suffix
-array is built by induced sorting (``induced_sorting``); common prefixes, computed in text order, bound the groups of
-equal windows in it, and each group has the smallest id of its members. An occurrence in a document with a larger id
-is removed. Spans are judged on the input text, and never cross documents.
+collapsed to distinct ones with their smallest id; where an anchor has several, they are dealt into shards by anchor. Each
+shard is one string whose suffix array is built by induced sorting (``induced_sorting``); common prefixes, computed in text
+order, bound the groups of equal windows in it, and each group has the smallest id of its members. An occurrence in a
+document with a larger id is removed. Spans are judged on the input text, and never cross documents.
 
 Nothing grows with a hot passage: an anchor that several texts of one slice hold is sent on once; equal stretches collapse
 before they are dealt; an anchor whose distinct stretches fill a shard is cut into its single windows, which are dealt by
@@ -24,11 +24,12 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadtally.llm.common import mix, slices, written
+from roadtally.llm.common import mix, released, slices, written
 from roadtally.llm.induced_sorting import common_prefixes, suffix_array
 
 WINDOW = 50
@@ -157,10 +158,13 @@ def _shared(group: pa.Table) -> pa.Table:
         anchors.append(values | (np.uint64(1) << np.uint64(63)) * (texts < 0))
     key, anchor = np.concatenate(keys), np.concatenate(anchors)
     answered, anchor = anchor >> np.uint64(63) == 1, anchor & np.uint64((1 << 63) - 1)
-    order = np.argsort(anchor, kind="stable")
+    order = np.lexsort((key, anchor))
     key, anchor, answered = key[order], anchor[order], answered[order]
-    same = np.append(False, anchor[1:] == anchor[:-1])
-    wanted = (same | np.append(same[1:], False)) & ~answered
+    starts = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1])[: len(anchor)])
+    counts = np.diff(np.append(starts, len(anchor)))
+    # copies of one text have one key; an anchor that only they hold is not shared
+    shared = np.logical_or.reduceat(answered, starts) | (key[starts] != key[starts + counts - 1])
+    wanted = np.repeat(shared, counts) & ~answered
     return pa.table({"h1": key[wanted], "anchor": anchor[wanted].astype(np.int64)})
 
 
@@ -178,22 +182,27 @@ _RUNS = "anchor long, stretch binary, h1 long, h2 long, doc_id long, at int"
 def _stretches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The stretches of each text that its wanted anchors own."""
     for batch in slices(iter(batches), "text", SLICE // 8):
-        for row in range(batch.num_rows):
-            data = zstandard.decompress(batch.column("text")[row].as_py())
-            wanted = batch.column("wanted")[row].values.to_numpy()
-            _, start, length, anchor = anchor_runs(data, np.array([0, len(data)]))
-            anchor = anchor.astype(np.int64)
-            kept = np.isin(anchor, wanted)
-            start, length, anchor = start[kept], length[kept], anchor[kept]
-            n = len(start)
+        for low in range(0, batch.num_rows, 1 << 15):  # anchors are 48 bits; the others tell the texts apart
+            part = batch.slice(low, 1 << 15)
+            texts = [zstandard.decompress(t) for t in part.column("text").to_pylist()]
+            data, offsets = b"".join(texts), np.append(0, np.cumsum([len(t) for t in texts], dtype=np.int64))
+            asked = np.repeat(np.arange(part.num_rows), pc.list_value_length(part.column("wanted")).to_numpy())
+            asked = (asked << 48) | part.column("wanted").flatten().to_numpy()
+            text, start, length, anchor = anchor_runs(data, offsets)
+            kept = np.isin((text << 48) | anchor.astype(np.int64), asked)
+            text, start, length, anchor = text[kept], start[kept], length[kept], anchor[kept]
+            begins = offsets[text] + start
+            ends = begins + length + WINDOW - 1
+            stretches = [data[a:b] for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
+            of = pa.array(text)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(anchor),
-                    pa.array([data[a:b] for a, b in zip(start, start + length + WINDOW - 1, strict=True)], pa.binary()),
-                    *[pa.repeat(batch.column(c)[row], n) for c in ("h1", "h2", "doc_id")],
+                    pa.array(anchor.astype(np.int64)),
+                    pa.array(stretches, pa.binary()),
+                    *[part.column(c).take(of) for c in _NAME],
                     pa.array(start.astype(np.int32)),
                 ],
-                ["anchor", "stretch", "h1", "h2", "doc_id", "at"],
+                ["anchor", "stretch", *_NAME, "at"],
             )
 
 
@@ -203,31 +212,37 @@ _SHARED = "anchor long, tag long, low int, high int, first long"
 def _induced(group: pa.Table) -> pa.Table:
     """For each stretch of a shard, runs of window starts with the smallest id among all stretches that hold the window."""
     stretches = group.column("stretch").to_pylist()
-    data = np.frombuffer(b"".join(stretches), np.uint8)
+    joined = b"".join(stretches)
+    data = np.frombuffer(joined, np.uint8)
     sizes = np.array([len(s) for s in stretches], np.int64)
     starts = np.cumsum(sizes) - sizes
-    string = np.zeros(len(data) + len(sizes), np.int16)  # each stretch is followed by a 0, below all bytes
-    string[np.arange(len(data)) + np.repeat(np.arange(len(sizes)), sizes)] = data.astype(np.int16) + 1
-    starts = starts + np.arange(len(sizes))
-    order = suffix_array(string, 257)
-    shared = common_prefixes(string, order, WINDOW)
-    owner = np.repeat(np.arange(len(sizes)), sizes + 1)
-    offset = np.arange(len(string)) - starts[owner]
-    whole = offset + WINDOW <= sizes[owner]
-    order = order[whole[order]]  # equal windows are neighbours before and after
-    heads = np.flatnonzero(np.append(True, shared[order[1:]] < WINDOW))
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    # Each stretch is followed by a 0, below all bytes; so byte i of the data is symbol i + owner[i] of the string.
+    string = np.zeros(len(data) + len(sizes), np.int16)
+    string[np.arange(len(data)) + owner] = data.astype(np.int16) + 1
+    offset = np.arange(len(data)) - starts[owner]
+    windows = np.flatnonzero(offset + WINDOW <= sizes[owner])
+    rank = np.full(len(string), -1)
+    rank[windows + owner[windows]] = windows
+    order = rank[suffix_array(string, 257)]
+    order = order[order >= 0]  # windows by content: those that are equal stand next to each other
+    before = np.empty(len(data), np.int64)
+    before[order[1:]], before[order[0]] = order[:-1], order[0]
+    shared = np.empty(len(data), np.int64)
+    shared[windows] = common_prefixes(joined, windows, before[windows], WINDOW)
+    new = shared[order] < WINDOW
+    new[0] = True
+    heads = np.flatnonzero(new)
     ids = group.column("first").to_numpy()
-    least = np.minimum.reduceat(ids[owner[order]], heads)
-    first = np.empty(len(string), np.int64)
-    first[order] = np.repeat(least, np.diff(np.append(heads, len(order))))
-    at = np.flatnonzero(whole)
-    new = np.append(True, (first[at[1:]] != first[at[:-1]]) | (at[1:] != at[:-1] + 1))
-    low, high = at[new], at[np.append(np.flatnonzero(new)[1:], len(at)) - 1]
-    of = owner[low]
+    first = np.empty(len(data), np.int64)
+    first[order] = np.repeat(np.minimum.reduceat(ids[owner[order]], heads), np.diff(np.append(heads, len(order))))
+    new = np.append(True, (first[windows[1:]] != first[windows[:-1]]) | (windows[1:] != windows[:-1] + 1))
+    low, high = windows[new], windows[np.append(np.flatnonzero(new)[1:], len(windows)) - 1]
+    of = pa.array(owner[low])
     return pa.table(
         {
-            "anchor": group.column("anchor").take(pa.array(of)),
-            "tag": group.column("tag").take(pa.array(of)),
+            "anchor": group.column("anchor").take(of),
+            "tag": group.column("tag").take(of),
             "low": offset[low].astype(np.int32),
             "high": offset[high].astype(np.int32),
             "first": first[low],
@@ -308,30 +323,32 @@ def _marked(rows: DataFrame, classes: DataFrame, total: int) -> DataFrame:
     runs = written(packed.join(wanted, _NAME).mapInArrow(_stretches, _RUNS), "runs")
 
     shards = written(runs.groupBy("anchor", "stretch").agg(F.min("doc_id").alias("first")), "stretches")
-    sums = shards.groupBy("anchor").agg(F.sum(F.octet_length("stretch")).alias("bytes"))
-    full = written(sums.where(F.col("bytes") > SHARD_BYTES).select("anchor"), "full")
+    released(rows.sparkSession, sent)
+    sums = shards.groupBy("anchor").agg(F.sum(F.octet_length("stretch")).alias("bytes"), F.count("*").alias("n"))
+    sums = written(sums.where("n > 1").select("anchor", (F.col("bytes") > SHARD_BYTES).alias("full")), "compared")
+    full = sums.where("full").select("anchor")
+    compared = shards.join(sums.where("not full").select("anchor"), "anchor", "left_semi")
+    alone = shards.join(sums.select("anchor"), "anchor", "left_anti")
     if full.limit(1).count():
         cut = _single_windows(shards.join(full, "anchor")).groupBy("anchor", "stretch").agg(F.min("first").alias("first"))
-        shards = written(shards.join(full, "anchor", "left_anti").unionByName(cut), "stretches")
+        compared = compared.unionByName(cut)
         cut = _single_windows(runs.join(full, "anchor"), F.col("at"))
         runs = written(runs.join(full, "anchor", "left_anti").unionByName(cut), "runs")
-    size = shards.agg(F.sum(F.octet_length("stretch"))).first()[0] or 0
-    number = math.ceil(size / SHARD_BYTES) or 1
-    dealt = shards.select(
-        F.pmod(F.xxhash64("anchor"), F.lit(number)).cast("int").alias("shard"),
-        "anchor",
-        F.xxhash64("stretch").alias("tag"),
-        "stretch",
-        "first",
-    )
-    found = written(dealt.groupBy("shard").applyInArrow(_induced, _SHARED), "shared")
+    compared = written(compared.withColumn("tag", F.xxhash64("stretch")), "compared")
+    size = compared.agg(F.sum(F.octet_length("stretch"))).first()[0] or 0
+    shard = F.pmod(F.xxhash64("anchor"), F.lit(math.ceil(size / SHARD_BYTES) or 1)).cast("int").alias("shard")
+    found = compared.select(shard, "anchor", "tag", "stretch", "first").groupBy("shard").applyInArrow(_induced, _SHARED)
+    # A stretch that is the only one of its anchor has no window in common with another: it needs no array.
+    last = (F.octet_length("stretch") - WINDOW).alias("high")
+    known = alone.select("anchor", F.xxhash64("stretch").alias("tag"), F.lit(0).alias("low"), last, "first")
+    found = written(found.unionByName(known), "shared")
+    released(rows.sparkSession, shards, compared)
     occurrences = runs.select("anchor", F.xxhash64("stretch").alias("tag"), *_NAME, "at")
     spans = occurrences.join(found, ["anchor", "tag"]).where("first < doc_id")
     span = F.struct((F.col("at") + F.col("low")).alias("start"), (F.col("at") + F.col("high") + WINDOW).alias("stop"))
     marks = spans.groupBy(*_NAME).agg(F.collect_list(span).alias("marks"))
-    return written(
-        packed.join(marks, _NAME)
-        .mapInArrow(_kept, "h1 long, h2 long, doc_id long, n_removed long, n_spans long, kept_sha256 string")
-        .dropDuplicates(_NAME),
-        "marked",
-    )
+    left = packed.join(marks, _NAME)
+    left = left.mapInArrow(_kept, "h1 long, h2 long, doc_id long, n_removed long, n_spans long, kept_sha256 string")
+    out = written(left.dropDuplicates(_NAME), "marked")
+    released(rows.sparkSession, runs, found)
+    return out

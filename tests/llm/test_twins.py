@@ -17,5 +17,5 @@ def test_twin(spark, sf_dir, name):
 def test_all_operators_are_registered():
     import __spark_entry__ as entry
 
-    assert [n.split("_")[0] for n in QUERIES] == [*(f"op{i}" for i in range(1, 11)), "pipeline"]
+    assert [n.split("_")[0] for n in QUERIES] == [*(f"op{i}" for i in range(1, 14)), "pipeline"]
     assert set(QUERIES) <= set(entry.queries())
