@@ -93,19 +93,28 @@ def lookup_join(facts: DataFrame, dimension: DataFrame, key: str, limit: int = B
     return salted_join(facts, dimension, key, spread_left=(), spread_right=())
 
 
-def join_counts(children: DataFrame, parents: DataFrame, key: str) -> DataFrame:
-    """Group counts of the bag join ``children x parents`` without forming its pairs.
+def counted_rows(rows: DataFrame, key: str) -> DataFrame:
+    """Distinct rows with a key, and how often each occurs (``n``)."""
+    return rows.where(F.col(key).isNotNull()).groupBy(*rows.columns).agg(F.count("*").alias("n"))
+
+
+def join_pairs(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Counted rows joined on ``key``: multiplicities multiply. Returns both sides' other columns and ``n``."""
+    other = right.withColumnRenamed("n", "_other_n")
+    return left.join(other, key).withColumn("n", F.col("n") * F.col("_other_n")).drop("_other_n", key)
+
+
+def joined_rows(children: DataFrame, parents: DataFrame, key: str, hint: str | None = None) -> DataFrame:
+    """The bag join as distinct pairs of rows with a count ``n``.
 
     Both sides collapse to distinct rows with a count first (map-side, so a hot key or a mass of copies
-    shrinks before any shuffle); joined multiplicities multiply. Returns the non-key columns and ``n``.
+    shrinks before any shuffle).
     """
-    child_columns = [c for c in children.columns if c != key]
-    parent_columns = [c for c in parents.columns if c != key]
-    known_key = F.col(key).isNotNull()
-    child_counts = children.where(known_key).groupBy(key, *child_columns).agg(F.count("*").alias("n_child"))
-    parent_counts = parents.where(known_key).groupBy(key, *parent_columns).agg(F.count("*").alias("n_parent"))
-    return (
-        child_counts.join(parent_counts, key)
-        .groupBy(*child_columns, *parent_columns)
-        .agg(F.sum(F.col("n_child") * F.col("n_parent")).alias("n"))
-    )
+    sides = [counted_rows(side, key) for side in (children, parents)]
+    return join_pairs(*(side.hint(hint) if hint else side for side in sides), key)
+
+
+def join_counts(children: DataFrame, parents: DataFrame, key: str, hint: str | None = None) -> DataFrame:
+    """Group counts of the bag join ``children x parents`` without forming its pairs: the non-key columns and ``n``."""
+    columns = [c for c in (*children.columns, *parents.columns) if c != key]
+    return joined_rows(children, parents, key, hint).groupBy(*columns).agg(F.sum("n").alias("n"))

@@ -11,11 +11,8 @@ from roadtally.operators.rollups import STAMP, RollupSpec
 
 
 def merge(spec: RollupSpec, pieces: DataFrame) -> DataFrame:
-    """Sum all pieces of a table per key; the stamp of a key is that of the newest piece touching it.
-
-    Sums commute, so pieces may come in any order and any number: a table is the merge of its deltas.
-    """
-    return pieces.groupBy(*spec.keys).agg(*spec.sums(), F.max(STAMP).alias(STAMP))
+    """All pieces of a table as one, a row per key."""
+    return spec.merged(pieces)
 
 
 def slice_deltas(spec: RollupSpec, events: DataFrame, slice_column: str, stamp: Column) -> DataFrame:

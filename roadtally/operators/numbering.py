@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from roadtally.session import checkpointed
+from pyspark.sql import types as T
 
 _ORIGIN = "_origin"
-# monotonically_increasing_id keeps the row position in its low 33 bits.
-ROWS_PER_PARTITION_ID = 1 << 33
+# Rows sampled per range, from which the ranges' borders are chosen.
+SAMPLED_PER_RANGE = 32
+# Rows of one range that a task may sort as they are; beyond it copies of a row are counted first.
+ROWS_PER_RANGE = 5_000_000
 
 
 def total_order(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
@@ -30,26 +31,70 @@ def total_order(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     )
 
 
-def number_rows(df: DataFrame, order_by: Sequence[str], name: str = "seq") -> DataFrame:
-    """0-based contiguous position in the total order.
+def splitters(df: DataFrame, order: Sequence[str], ranges: int) -> list[T.Row]:
+    """At most ``ranges`` - 1 different rows, in order, that cut the rows into ranges of about one size.
 
-    The sorted rows are checkpointed, which pins the sampled range bounds; partition sizes then give each
-    partition its offset. The window sees one row per partition, not the data.
+    They are quantiles of the rows with the smallest hashes, a sample that every execution draws alike; its size depends
+    on the number of ranges alone. Columns that hashing does not take cannot be ordered either.
     """
-    placed = (
-        checkpointed(total_order(df, order_by))
-        .withColumn("_partition", F.spark_partition_id())
-        .withColumn("_position", F.monotonically_increasing_id() % F.lit(ROWS_PER_PARTITION_ID))
-    )
-    before = Window.orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy("_partition")
-        .agg(F.count("*").alias("_rows"))
-        .select("_partition", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    )
-    # One row per partition of the checkpoint, so the broadcast is bounded by the partition count.
-    return (
-        placed.join(F.broadcast(offsets), "_partition")
-        .withColumn(name, F.col("_offset") + F.col("_position"))
-        .drop("_partition", "_position", "_offset")
-    )
+    sample = df.select(*order).orderBy(F.xxhash64(*order)).limit(SAMPLED_PER_RANGE * ranges)
+    placed = Window.orderBy(*order)  # over the sample
+    ranked = sample.distinct().withColumn("_place", F.percent_rank().over(placed))
+    cut = F.floor(F.col("_place") * ranges)
+    firsts = ranked.withColumn("_cut", cut).groupBy("_cut").agg(F.min(F.struct(*order)).alias("row")).where("_cut > 0")
+    return [r["row"] for r in firsts.orderBy("_cut").collect()]
+
+
+def range_of(df: DataFrame, order: Sequence[str], bounds: Sequence[T.Row]) -> Column:
+    """The number of bounds that a row reaches, found by halving: rows compare with a logarithm of the bounds."""
+    row = F.struct(*order)
+
+    def literal(bound: T.Row) -> Column:
+        return F.struct(*[F.lit(bound[c]).cast(df.schema[c].dataType).alias(c) for c in order])
+
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(row < literal(bounds[middle]), search(low, middle)).otherwise(search(middle + 1, high))
+
+    return search(0, len(bounds))
+
+
+def number_rows(
+    df: DataFrame,
+    order_by: Sequence[str],
+    name: str = "seq",
+    ranges: int | None = None,
+    rows_per_range: int = ROWS_PER_RANGE,
+) -> DataFrame:
+    """0-based contiguous position in the order by ``order_by``, then all other columns.
+
+    Borders of ranges are found once and are literals from then on, so a range holds the same rows whenever it is
+    computed; the rows of each are counted exactly, which gives its offset, and are numbered within it. Nothing is stored.
+    Equal rows may take each other's numbers. Where a range is too large for a task because a row occurs too often,
+    rows are counted before they are moved, and each row's numbers are generated at the end.
+    """
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [*order_by, *[c for c in df.columns if c not in order_by]]
+    bounds = splitters(df, order, ranges)
+    within = range_of(df, order, bounds).alias("_range")
+    sizes = {r["_range"]: r["n"] for r in df.select(within).groupBy("_range").agg(F.count("*").alias("n")).collect()}
+    offsets, total = [], 0
+    for i in range(len(bounds) + 1):
+        offsets.append(total)
+        total += sizes.get(i, 0)
+    offset = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col("_range") + 1)
+    own = Window.partitionBy("_range").orderBy(*order)
+    if max(sizes.values(), default=0) <= rows_per_range:
+        numbered = df.select("*", within).withColumn(name, offset + F.row_number().over(own) - 1)
+        return numbered.select(*df.columns, name)
+    copies = df.groupBy(*df.columns).agg(F.count("*").alias("_copies")).select("*", within)
+    before = F.coalesce(F.sum("_copies").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = copies.withColumn("_first", offset + before)
+    last = F.col("_first") + F.col("_copies") - 1
+    # In two steps, so that no array is longer than a range may be.
+    blocks = F.explode(F.sequence(F.col("_first"), last, F.lit(rows_per_range).cast("bigint"))).alias("_block")
+    placed = placed.select(*df.columns, last.alias("_last"), blocks)
+    numbers = F.sequence(F.col("_block"), F.least(F.col("_block") + rows_per_range - 1, F.col("_last")))
+    return placed.select(*df.columns, F.explode(numbers).alias(name))

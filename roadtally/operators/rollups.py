@@ -61,6 +61,13 @@ class RollupSpec:
     def sums(self) -> list[Column]:
         return [F.sum(m).cast("bigint").alias(m) for m in self.measures]
 
+    def merged(self, pieces: DataFrame) -> DataFrame:
+        """Sum all pieces of a table per key; the stamp of a key is that of the newest piece touching it.
+
+        Sums commute, so pieces may come in any order and any number: a table is the merge of its deltas.
+        """
+        return pieces.groupBy(*self.keys).agg(*self.sums(), F.max(STAMP).alias(STAMP))
+
 
 def _severity_is(label: str) -> Column:
     return indicator(f"accident_severity = '{label}'")

@@ -19,6 +19,7 @@ from roadtally.ml.report import accuracies, classification_report, confusion
 from roadtally.ml.scoring import score
 from roadtally.ml.training import encoder_stages, train, with_prediction
 from roadtally.operators import reports
+from roadtally.operators.colocated import ColocatedTables, append_colocated, colocate, open_colocated
 from roadtally.operators.joins import salted_join
 from roadtally.operators.merge import drop_replays, merge, rows_touched, slice_deltas
 from roadtally.operators.numbering import number_rows, total_order
@@ -34,11 +35,12 @@ from roadtally.operators.rollups import (
     demographics,
 )
 from roadtally.plans.serving import batch_recompute, serve, snapshot, store, stored
-from roadtally.schemas import EXTRACT_SCHEMAS, wire_names
+from roadtally.schemas import EXTRACT_SCHEMAS, KEY_COLUMN, wire_names
 from roadtally.session import checkpointed, scratch_path
 from roadtally.sources import fixtures
 from roadtally.sources.envelope import by_key, decode, encode, first_records
 from roadtally.sources.files import extract, lower_names, prepare_vehicles, read_csv, read_extract
+from roadtally.streaming.joined import DEMOGRAPHICS, StreamedDemographics, start_demographics
 from roadtally.streaming.jobs import replay_files, start_extract, start_rollups
 from roadtally.streaming.replays import SeenEvents
 from roadtally.streaming.state import RollupTable
@@ -376,6 +378,23 @@ def accident_vehicle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return salted_join(vehicles, accidents, "accident_index")
 
 
+def _colocated(spark: SparkSession, sf_dir: str) -> ColocatedTables:
+    """Both extracts stored together by key; half of the vehicles come in a second append."""
+    root, buckets = scratch_path(spark, "colocated"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    vehicles = fixtures.vehicles(spark, sf_dir).select(*EXTRACT_SCHEMAS["vehicles"].names)
+    accidents = fixtures.accidents(spark, sf_dir).select(*EXTRACT_SCHEMAS["accidents"].names)
+    later = hash_bucket(KEY_COLUMN, 2) == 1
+    colocate(vehicles.where(~later), accidents, KEY_COLUMN, root, buckets)
+    append_colocated(root, KEY_COLUMN, buckets, children=vehicles.where(later))
+    return open_colocated(spark, root, KEY_COLUMN, vehicles.schema, accidents.schema, buckets)
+
+
+@query
+def bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The join of tables that lie together by key: no row is moved."""
+    return _colocated(spark, sf_dir).join()
+
+
 @query
 def additive_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, GEO).drop(STAMP)
@@ -504,6 +523,25 @@ def _stream_extract(spark: SparkSession, sf_dir: str, stream: str) -> DataFrame:
     return read_extract(spark, path, stream)
 
 
+@query
+def stream_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vehicles first, their accidents hours later in two parts with a restart between them, and a batch delivered once more."""
+    root, checkpoint = scratch_path(spark, "state"), scratch_path(spark, "checkpoint")
+    paths = {stream: scratch_path(spark, f"messages-{stream}") for stream in ("accidents", "vehicles")}
+    sent = {stream: _messages(spark, sf_dir, stream, place=False) for stream in paths}
+    sent["vehicles"].repartition(SLICES, "key", "value").write.parquet(paths["vehicles"])
+    late = sent["accidents"].withColumn("timestamp", F.expr("timestamp + interval 7 hours"))
+    for part in range(2):
+        half = late.where(hash_bucket("key", 2) == part)
+        half.repartition(SLICES // 2, "key", "value").write.mode("append").parquet(paths["accidents"])
+        streams = [replay_files(spark, paths[stream], 2) for stream in ("accidents", "vehicles")]
+        running = start_demographics(*streams, root, checkpoint, True, stamp=lambda _: _stamp(0), compact_every=2)
+        running.awaitTermination()
+        events = {s: decode(rows, s, EXTRACT_SCHEMAS[s].names) for s, rows in {**sent, "accidents": half}.items()}
+        StreamedDemographics(spark, root).add(events, str(running.id), 0, _stamp(0))
+    return RollupTable(spark, root, DEMOGRAPHICS).read().drop(STAMP)
+
+
 @query
 def stream_extract_accidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stream_extract(spark, sf_dir, "accidents")
@@ -535,6 +573,18 @@ def training_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _groups(spark, sf_dir)
 
 
+@query
+def bucketed_training_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The groups counted over tables that lie together by key."""
+    return frame.groups_colocated(_colocated(spark, sf_dir))
+
+
+@query
+def bucketed_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups with the number of their rows held out, over tables that lie together by key."""
+    return frame.split_colocated(_colocated(spark, sf_dir))
+
+
 @query
 def target_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame.target_distribution(_groups(spark, sf_dir))

@@ -109,10 +109,14 @@ clean as (
     and accident_severity <> '')"""
 GROUPS = f"groups as (select {DEMOGRAPHIC_KEYS}, count(*) as n from clean group by all)"
 SPLIT = f"""
+drawn as (
+  select *, (count(*) over (partition by accident_severity) * 20 + 50) // 100 as held,
+    row_number() over (partition by accident_severity
+      order by substr(md5(concat_ws('|', '42', accident_index, age_band_of_driver, sex_of_driver, vehicle_type)), 1, 15)) as place
+  from clean),
 parts as (
-  select {DEMOGRAPHIC_KEYS}, count(*) as n,
-    count(*) filter (where cast('0x' || substr(md5(concat_ws('|', '42', accident_index)), 1, 8) as bigint) % 100 < 20) as n_test
-  from clean group by all)"""
+  select {DEMOGRAPHIC_KEYS}, count(*) as n, count(*) filter (where place <= held) as n_test
+  from drawn group by all)"""
 
 
 def _with(*parts: str) -> str:
@@ -222,6 +226,8 @@ ORACLE: dict[str, str] = {
         select processing_date, {DEMOGRAPHIC_KEYS}, count(*) as joined_count from joined group by all""",
     "accident_vehicle_join": f"""{_with(ACCIDENTS, VEHICLES)} select accident_index, age_band_of_driver, sex_of_driver, vehicle_type, accident_severity
         from vehicles join accidents using (accident_index)""",
+    "bucketed_join": f"""{_with(ACCIDENTS, VEHICLES)} select accident_index, age_band_of_driver, sex_of_driver, vehicle_type, accident_severity
+        from vehicles join accidents using (accident_index)""",
     "additive_merge": GEO_RESULT,
     "merge_freshness": f"{GEO} select {GEO_KEYS}, {STAMPED} from geo",
     "late_rows_merge": f"""{_with(ACCIDENTS, CONDITION_ROWS)},
@@ -243,10 +249,14 @@ ORACLE: dict[str, str] = {
     "stream_conditions": CONDITION_RESULT,
     "stream_hotspots": HOTSPOT_RESULT,
     "stream_vehicle_profile": PROFILE_RESULT,
+    "stream_demographics": f"""{_with(ACCIDENTS, VEHICLES)} select '2024-01-01' as processing_date, {DEMOGRAPHIC_KEYS}, count(*) as joined_count
+        from vehicles join accidents using (accident_index) group by {DEMOGRAPHIC_KEYS}""",
     "stream_extract_accidents": ACCIDENT_EXTRACT,
     "stream_extract_vehicles": VEHICLE_EXTRACT,
     "clean_training_rows": f"{_with(ACCIDENTS, VEHICLES, CLEAN)} select * from clean",
     "training_groups": f"{FRAME} select * from groups",
+    "bucketed_training_groups": f"{FRAME} select * from groups",
+    "bucketed_split": f"{FRAME}, {SPLIT.strip()} select *, n - n_test as n_train from parts",
     "target_distribution": f"""{FRAME} select accident_severity, cast(sum(n) as bigint) as n,
         cast(sum(n) as double) / (select cast(sum(n) as double) from groups) as share from groups group by 1""",
     "feature_options": f"""{FRAME}, options as (
