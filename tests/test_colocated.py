@@ -1,0 +1,79 @@
+"""Tables stored together by key join and count without moving rows, heavy keys, appends and missing keys included."""
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from roadtally.ml import frame
+from roadtally.operators.colocated import append_colocated, colocate, open_colocated
+from tests.test_joins import children, parents
+from tests.test_ml import data
+
+BUCKETS = 4
+
+
+def counted(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+def plan_of(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("rows_per_cell", [100, 1_000_000])
+def test_join_and_counts_are_those_of_plain_tables(spark, tmp_path, rows_per_cell):
+    left, right = children(spark), parents(spark, 40)
+    tables = colocate(left, right, "k", str(tmp_path), BUCKETS, rows_per_cell)
+    assert (tables.heavy is not None) == (rows_per_cell == 100)
+    assert counted(tables.join().select("k", "v", "p")) == counted(left.join(right, "k").select("k", "v", "p"))
+    plain = left.join(right, "k").groupBy("v", "p").count()
+    assert counted(tables.counts().select("v", "p", "n")) == counted(plain)
+    again = open_colocated(spark, str(tmp_path), "k", left.schema, right.schema, BUCKETS, rows_per_cell)
+    assert counted(again.join()) == counted(tables.join())
+
+
+def test_no_exchange_below_the_join(spark, tmp_path):
+    tables = colocate(children(spark), parents(spark, 0), "k", str(tmp_path), BUCKETS)
+    assert "Exchange" not in plan_of(tables.join()) and "SortMergeJoin" in plan_of(tables.join())
+    above, below = plan_of(tables.counts()).split("SortMergeJoin")
+    assert "Exchange" not in below and below.count("HashAggregate") == 4
+    assert above.count("Exchange hashpartitioning") == 1
+
+
+def test_heavy_keys_are_kept_out_of_the_buckets(spark, tmp_path):
+    tables = colocate(children(spark), parents(spark, 40), "k", str(tmp_path), BUCKETS, 100)
+    assert tables.light[0].where("k = '7'").count() == 0 and tables.heavy[0].select("k").distinct().collect() == [("7",)]
+    assert tables.light[0].count() + tables.heavy[0].count() == children(spark).where("k is not null").count()
+
+
+def test_appends(spark, tmp_path):
+    left, right = children(spark), parents(spark, 40)
+    early = F.crc32(F.concat_ws("|", "k", "v").cast("binary")) % 2 == 0
+    colocate(left.where(early), right.where("k < '5'"), "k", str(tmp_path), BUCKETS, 100)
+    append_colocated(str(tmp_path), "k", BUCKETS, left.where(~early), right.where("k >= '5'"))
+    tables = open_colocated(spark, str(tmp_path), "k", left.schema, right.schema, BUCKETS, 100)
+    assert counted(tables.join().select("k", "v", "p")) == counted(left.join(right, "k").select("k", "v", "p"))
+    assert "Exchange" not in plan_of(tables.light[0].hint("merge").join(tables.light[1].hint("merge"), "k"))
+
+
+def test_empty_sides(spark, tmp_path):
+    left, right = children(spark), parents(spark, 0)
+    for i, pair in enumerate([(left.limit(0), right), (left, right.limit(0)), (left.where("k is null"), right)]):
+        tables = colocate(*pair, "k", f"{tmp_path}/{i}", BUCKETS)
+        assert tables.join().count() == 0 and tables.counts().count() == 0
+
+
+def test_training_data_over_tables_that_lie_together(spark, tmp_path):
+    vehicles, accidents = data(spark)
+    for i, rows_per_cell in enumerate((1_000_000, 0)):  # without heavy keys, and with all of them heavy
+        tables = colocate(vehicles, accidents, "accident_index", f"{tmp_path}/{i}", BUCKETS, rows_per_cell)
+        columns = [*frame.FEATURES, frame.TARGET, "n"]
+        assert counted(frame.groups_colocated(tables).select(*columns)) == counted(
+            frame.training_groups(vehicles, accidents).select(*columns)
+        )
+        split = [*columns, "n_test", "n_train"]
+        assert counted(frame.split_colocated(tables).select(*split)) == counted(
+            frame.split_groups(vehicles, accidents).select(*split)
+        )

@@ -105,6 +105,24 @@ def test_numbering_is_contiguous_and_ordered(spark):
     assert keys == sorted(keys)
 
 
+@pytest.mark.parametrize("ranges", [1, 2, 7])
+@pytest.mark.parametrize("rows_per_range", [10, 5_000_000])
+def test_numbering_by_ranges_and_copies(spark, ranges, rows_per_range):
+    """A third of the rows on one key, half of those copies, and missing keys, which come first."""
+    rows = children(spark)
+    numbered = number_rows(rows, ["k"], "seq", ranges, rows_per_range)
+    got = numbered.orderBy("seq").collect()
+    assert [r["seq"] for r in got] == list(range(ROWS))
+    assert [(r["k"], r["v"]) for r in got] == [tuple(r) for r in rows.orderBy("k", "v").collect()]
+    assert "checkpoint" not in numbered._jdf.queryExecution().toString().lower()
+
+
+def test_numbering_of_nothing_and_of_one_row(spark):
+    rows = children(spark)
+    assert number_rows(rows.limit(0), ["k"]).collect() == []
+    assert [r["seq"] for r in number_rows(rows.where("k = '3'").limit(1), ["k"]).collect()] == [0]
+
+
 def test_total_order_splits_a_hot_key_and_its_copies(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:

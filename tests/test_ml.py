@@ -50,19 +50,40 @@ def test_groups_are_the_cleaned_join(spark, groups):
     assert not {"", *frame.REJECTED} & {v for row in rows for v in row}
 
 
-def test_split_draws_rows_at_the_same_rate(spark, groups):
+def test_split_holds_out_the_rounded_share_of_each_class(spark, groups):
     sizes = Counter()
     for g in groups:
         assert 0 <= g["n_test"] <= g["n"] and g["n_train"] + g["n_test"] == g["n"]
         sizes[g[frame.TARGET], "n"] += g["n"]
         sizes[g[frame.TARGET], "test"] += g["n_test"]
     for label in {g[frame.TARGET] for g in groups}:
-        assert abs(sizes[label, "test"] - 0.2 * sizes[label, "n"]) < 4 * (0.16 * sizes[label, "n"]) ** 0.5
+        assert sizes[label, "test"] == (20 * sizes[label, "n"] + 50) // 100
     other_seed = frame.split_groups(*data(spark), seed=7).select("n", "n_test").collect()
     assert sum(r["n"] for r in other_seed) == sum(g["n"] for g in groups)
     assert sorted(r["n_test"] for r in other_seed) != sorted(g["n_test"] for g in groups)
 
 
+@pytest.mark.parametrize("percent", [0, 1, 50, 99, 100])
+def test_split_of_copies_and_small_classes(spark, percent):
+    """A mass of copies of one row is cut in two; a class of one row is held out or not as a whole."""
+    row = (AGES[0], SEXES[0], TYPES[0])
+    vehicles = [("A", *row)] * 501 + [("B", *row)] + [("C", AGES[1], SEXES[0], TYPES[1])] * 3
+    accidents = [("A", "Slight"), ("B", "Fatal"), ("C", "Slight"), ("C", "Serious"), ("C", "Serious")]
+    split = frame.split_groups(
+        spark.createDataFrame(vehicles, "accident_index string, age_band_of_driver string, sex_of_driver string, vehicle_type string"),
+        spark.createDataFrame(accidents, "accident_index string, accident_severity string"),
+        percent,
+    ).collect()
+    sizes = {c: (sum(r["n"] for r in split if r[frame.TARGET] == c), sum(r["n_test"] for r in split if r[frame.TARGET] == c)) for c in ("Slight", "Fatal", "Serious")}
+    assert {c: n for c, (n, _) in sizes.items()} == {"Slight": 504, "Fatal": 1, "Serious": 6}
+    assert all(held == (n * percent + 50) // 100 for n, held in sizes.values())
+
+
+def test_split_of_nothing(spark):
+    vehicles, accidents = data(spark)
+    assert frame.split_groups(vehicles.limit(0), accidents).collect() == []
+
+
 def test_class_weights_by_hand(spark):
     counts = spark.createDataFrame([("a", 6), ("b", 3), ("c", 1)], "accident_severity string, n_train bigint")
     weights = {r[0]: r["weight"] for r in frame.class_weights(counts).collect()}
