@@ -43,6 +43,16 @@ def test_round_trip(spark, archive_bytes):
     assert sorted([(*r[:5], None if r.payload is None else bytes(r.payload)) for r in got], key=key) == sorted(expected, key=key)
 
 
+def test_archives_are_read_side_by_side(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(i, "u", f"text {i}" * 50) for i in range(24)]
+    archives = W.write_archives(W.with_references(pages(spark, rows)), W.archive_folder(spark), archive_bytes=1)
+    assert archives.count() == 24
+    tasks = W.read_archives(archives).groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) >= 20
+
+
 def test_empty_table(spark):
     got, archives = round_trip(spark, [])
     assert got == [] and archives.count() == 0
@@ -63,5 +73,9 @@ def test_members_are_gzip_and_damage_is_found():
             records_of(gzip.compress(damaged))
     with pytest.raises(ValueError):
         records_of(one + two[:-9])
+    text_two = zlib.decompress(two, 31)
+    for misaligned in (gzip.compress(text + text_two), gzip.compress(text[:40]) + gzip.compress(text[40:]), gzip.compress(text + text_two[:30]) + gzip.compress(text_two[30:])):
+        with pytest.raises(ValueError, match="member of its own"):
+            records_of(misaligned)
     with pytest.raises((ValueError, zlib.error)):
         records_of(one[:50] + b"\x00\x01" + one[52:])
