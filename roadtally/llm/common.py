@@ -38,14 +38,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def deleted(*tables: DataFrame) -> None:
+    """Delete written tables that nothing will read again: everything made from them must be written itself."""
+    for table_ in tables:
+        spark = table_.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table_.scratch_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def released(spark: SparkSession, *tables: DataFrame) -> None:
-    """Delete written tables that nothing will read again: everything made from them must be written itself.
+    """Delete written tables, as ``deleted``, and the files of the shuffles behind them.
 
     The collection lets Spark's cleaner see that the shuffles behind them are unreachable and delete their files too.
     """
-    for table_ in tables:
-        path = spark._jvm.org.apache.hadoop.fs.Path(table_.scratch_path)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    deleted(*tables)
     gc.collect()
     spark._jvm.System.gc()
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadtally.llm.common import written
+from roadtally.llm.common import deleted, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -13,7 +13,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round takes the smallest label among the neighbours and then the label of that label, so the labelled
     distance doubles. Rounds are written tables: lineage stays short and lost executors cost one round. Joins read
-    written tables on both sides, so that adaptive execution can split a hub's rows. No links give no rows.
+    written tables on both sides, so that adaptive execution can split a hub's rows. Tables of earlier rounds are deleted;
+    the result is a written table itself (``scratch_path``). No links give no rows.
     """
     both = written(
         links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges"
@@ -34,6 +35,10 @@ def components(links: DataFrame) -> DataFrame:
             spread.join(shortcut, "label").select("node", "old", F.least("label", "far").alias("label")), "labels"
         )
         moved = following.where(F.col("label") != F.col("old")).limit(1).count()
-        labels = following.select("node", "label")
+        deleted(labels, spread)
+        labels = following
         if not moved:
-            return labels.withColumnRenamed("label", "component")
+            deleted(both)
+            out = labels.select("node", F.col("label").alias("component"))
+            out.scratch_path = labels.scratch_path
+            return out

@@ -12,7 +12,8 @@ the band below publishes there too. Should a text have too few filled words for
 shingles themselves, which meet those of other such texts; any other text meets it through its words.
 
 Null and empty texts, and texts of white space, have no shingles and link with nothing. Rows with equal texts link with
-each other if the text has words. Repeated rows stay as they are. Columns other than the id and the text are ignored.
+each other if the text has words. Repeated rows stay as they are. A row without an id links as any other, and may link two
+rows with ids; it gives no component its name. Columns other than the id and the text are ignored.
 A set is named by 64 bits of a hash over its shingles (about 3 % risk of one clash among 10^9 different texts).
 """
 
@@ -27,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadtally.llm.common import as_long, mix, shingle_hashes, slices, word_hashes, written
+from roadtally.llm.common import as_long, mix, released, shingle_hashes, slices, word_hashes, written
 from roadtally.llm.graph import components
 
 WIDTH = 5
@@ -36,11 +37,16 @@ PARTS, OF = 80, 100
 # Sketch words per shingle at the lower end of a band.
 WORDS_PER_SHINGLE = 0.55
 # Members of one run that a comparing task holds at a time.
-RUN_CELL = 2048
+RUN_CELL = 8192
 # Orders of the keys under which entities are paired by their smallest key.
 KEY_ORDERS = 8
 
-FEATURES = "doc_id long, n_shingles long, entity long, sketch binary, keys array<long>"
+# Bits of the short sketch that travels with every key: at most, and for the smallest sets.
+MOST_BRIEF, LEAST_BRIEF = 1 << 15, 64
+
+FEATURES = "doc_id long, h long, n_shingles long, entity long, sketch binary, brief binary, keys array<long>"
+# In place of a missing id, so that such rows can be joined; other ids come before it.
+NAMELESS = (1 << 63) - 1
 _KEY_SALT = 0xD6E8FEB86659FD93
 
 
@@ -93,6 +99,20 @@ def _folded(bits: np.ndarray, size: int) -> np.ndarray:
     return bits
 
 
+def brief_bits(n: int) -> int:
+    """Bits of the short sketch of a set of this size: a quarter of the full one, within bounds."""
+    return min(4 << band(n), max(LEAST_BRIEF, min(1 << band(n), MOST_BRIEF)))
+
+
+def fold_packed(sketch: np.ndarray, bits: int, size: int) -> np.ndarray:
+    """As ``_folded``, of bits packed into bytes."""
+    while bits > size:
+        bits //= 2
+        half = bits // 8
+        sketch = sketch[:half] ^ sketch[half:] if half else (sketch ^ (sketch << bits)) & np.uint8(0xFF << (8 - bits) & 0xFF)
+    return sketch
+
+
 def may_link(n_a: int, sketch_a: bytes, n_b: int, sketch_b: bytes) -> bool:
     """False only if sizes or sketches rule out a link."""
     low, high = min(n_a, n_b), max(n_a, n_b)
@@ -119,21 +139,26 @@ def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(iter(batches), "text"):
         rows = batch.num_rows
         counts, entities, sketches, keys = np.zeros(rows, np.int64), [None] * rows, [None] * rows, [[]] * rows
+        briefs = [None] * rows
         for row, shingles, entity in _sets(batch, "text"):
             counts[row], entities[row] = len(shingles), entity
-            sketches[row] = np.packbits(sketch_bits(shingles)).tobytes()
+            bits = sketch_bits(shingles)
+            sketches[row] = np.packbits(bits).tobytes()
+            briefs[row] = np.packbits(_folded(bits, brief_bits(len(shingles)))).tobytes()
             keys[row] = as_long(published_keys(shingles))
         sizes = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32)
         flat = np.concatenate([np.asarray(k, np.int64) for k in keys]) if sizes[-1] else np.empty(0, np.int64)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
+                batch.column("h"),
                 pa.array(counts),
                 pa.array(entities, pa.int64()),
                 pa.array(sketches, pa.binary()),
+                pa.array(briefs, pa.binary()),
                 pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat)),
             ],
-            ["doc_id", "n_shingles", "entity", "sketch", "keys"],
+            ["doc_id", "h", "n_shingles", "entity", "sketch", "brief", "keys"],
         )
 
 
@@ -202,9 +227,8 @@ def _crossing(batches: Iterable[pa.RecordBatch], nearest: bool) -> Iterator[pa.R
         sizes = np.array([m[3] for m in members])
         component, entity, cell = (np.array([m[i] for m in members]) for i in (2, 1, 0))
         # All sketches folded to the run's smallest, which bounds the distance from below as well.
-        least = 4 << band(int(sizes.min()))
-        bits = [np.unpackbits(np.frombuffer(m[4], np.uint8))[: 4 << band(m[3])] for m in members]
-        sketches = np.stack([np.packbits(_folded(b, least)) for b in bits])
+        least = min(brief_bits(m[3]) for m in members)
+        sketches = np.stack([fold_packed(np.frombuffer(m[4], np.uint8), brief_bits(m[3]), least) for m in members])
         order = np.arange(len(members))
         found = []
         for i in np.flatnonzero(cell == left):
@@ -226,13 +250,13 @@ def _crossing(batches: Iterable[pa.RecordBatch], nearest: bool) -> Iterator[pa.R
             [pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())], ["a", "b"]
         )
 
-    for batch in batches:
+    for batch in slices(iter(batches), "brief"):
         for row in batch.to_pylist():
             run = (row["key"], row["left"], row["right"])
             if run != held:
                 yield from pairs()
                 held, members = run, []
-            members.append((row["cell"], row["entity"], row["component"], row["n_shingles"], row["sketch"]))
+            members.append((row["cell"], row["entity"], row["component"], row["n_shingles"], row["brief"]))
     yield from pairs()
 
 
@@ -257,12 +281,12 @@ def _crossing_pairs(runs: DataFrame, parts: DataFrame, info: DataFrame, search)
     )
     cells = (
         placed.join(open_keys, "key")
-        .join(info.select("entity", "n_shingles", "sketch"), "entity")
+        .join(info.select("entity", "n_shingles", "brief"), "entity")
         .withColumn("cell", F.pmod(F.xxhash64("entity"), F.col("cells")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
         .withColumn("left", F.least("cell", "other"))
         .withColumn("right", F.greatest("cell", "other"))
-        .select("key", "left", "right", "cell", "entity", "component", "n_shingles", "sketch")
+        .select("key", "left", "right", "cell", "entity", "component", "n_shingles", "brief")
     )
     found = (
         cells.repartition("key", "left", "right")
@@ -284,10 +308,14 @@ def _verified(pairs: DataFrame, info: DataFrame, docs: DataFrame) -> DataFrame |
     if not possible.limit(1).count():
         return None
     asked = possible.select(F.col("a").alias("entity")).union(possible.select("b")).distinct()
-    asked = written(info.join(asked, "entity", "left_semi").select("doc_id", "entity"), "asked")
-    sets = written(docs.join(asked, "doc_id").mapInArrow(_entity_sets, "entity long, shingles binary"), "sets")
+    asked = written(info.join(asked, "entity", "left_semi").select("first.*", "entity"), "asked")
+    # One row of each entity: the same id and text may come again.
+    texts = docs.join(asked, ["named", "h"]).dropDuplicates(["named", "h"])
+    sets = written(texts.mapInArrow(_entity_sets, "entity long, shingles binary"), "sets")
     a, b = (sets.select(F.col("entity").alias(s), F.col("shingles").alias(f"set_{s}")) for s in ("a", "b"))
-    return written(possible.join(a, "a").join(b, "b").mapInArrow(_linked, "a long, b long").distinct(), "links")
+    links = written(possible.join(a, "a").join(b, "b").mapInArrow(_linked, "a long, b long").distinct(), "links")
+    released(info.sparkSession, possible, asked, sets)
+    return links
 
 
 def _look_alikes(runs: DataFrame) -> DataFrame:
@@ -306,14 +334,24 @@ def _look_alikes(runs: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``(doc_id, n_shingles, component_id)`` for every row; see the module's text.
+    """``(doc_id, n_shingles, component_id)`` for every row; see the module's text."""
+    return jaccard_rows(docs, id_column, text_column).select("doc_id", "n_shingles", "component_id")
+
+
+def jaccard_rows(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``(doc_id, h, n_shingles, group, component_id)`` for every row.
+
+    ``h`` is a hash of the text; ``group`` names the component apart from ids, which need not be unique, and is null for
+    rows without shingles.
 
     Entities that publish a common key are candidates, but pairs are tested only between components that the tests before
     left apart, so a large group of near copies is joined without listing its pairs: first entities that agree in a smallest
     key; then, per key, every holder with the holder of another component that looks nearest, as long as half of them link; and
     last all holders of different components that sizes and sketches allow. Holders are compared in cells of ``RUN_CELL``.
     """
+    spark = docs.sparkSession
     docs = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+    docs = docs.withColumn("h", F.xxhash64("text")).withColumn("named", F.coalesce("doc_id", F.lit(NAMELESS)))
     features = written(docs.mapInArrow(_features, FEATURES), "features")
     keys = features.select(F.explode("keys").alias("key"), "entity").repartition("key")
     runs = written(keys.sortWithinPartitions("key", "entity").mapInArrow(_shared_runs, "key long, entity long"), "runs")
@@ -321,11 +359,16 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     info = written(
         known.join(runs.select("entity").distinct(), "entity", "left_semi")
         .groupBy("entity")
-        .agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch")),
+        .agg(
+            F.min(F.struct(F.coalesce("doc_id", F.lit(NAMELESS)).alias("named"), "h")).alias("first"),
+            F.max("n_shingles").alias("n_shingles"),
+            F.max("sketch").alias("sketch"),
+            F.max("brief").alias("brief"),
+        ),
         "info",
     )
-    links = docs.sparkSession.createDataFrame([], "a long, b long")
-    parts = docs.sparkSession.createDataFrame([], "node long, component long")
+    links, verified = spark.createDataFrame([], "a long, b long"), []
+    parts, labels = spark.createDataFrame([], "node long, component long"), []
 
     def tested(pairs: DataFrame) -> int:
         """Add the links among the pairs; their number."""
@@ -334,23 +377,33 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
         found = more.count() if more is not None else 0
         if found:
             links = links.union(more)
+            verified.append(more)
             parts = components(links)
+            released(spark, *labels)
+            labels[:] = [parts]
         return found
 
     tested(_look_alikes(runs))
     while tried := (near := _crossing_pairs(runs, parts, info, _nearest)).count():
-        if 2 * tested(near) < tried:
-            tested(_crossing_pairs(runs, parts, info, _every))
+        found = tested(near)
+        released(spark, near)
+        if 2 * found < tried:
+            rest = _crossing_pairs(runs, parts, info, _every)
+            tested(rest)
+            released(spark, rest)
             break
 
     first = known.groupBy("entity").agg(F.min("doc_id").alias("first_id"))
     grouped = parts.withColumnRenamed("node", "entity").join(first, "entity")
     smallest = grouped.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    members = grouped.select("entity", "component").join(smallest, "component").select("entity", "component_id")
+    members = grouped.select("entity", "component").join(smallest, "component").select("entity", "component", "component_id")
     named = written(
-        first.join(members, "entity", "left").select("entity", F.coalesce("component_id", "first_id").alias("component_id")),
+        first.join(members, "entity", "left").select(
+            "entity", F.coalesce("component", "entity").alias("group"), F.coalesce("component_id", "first_id").alias("component_id")
+        ),
         "members",
     )
-    return features.select("doc_id", "n_shingles", "entity").join(named, "entity", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+    released(spark, info, runs, *verified, *labels)
+    return features.select("doc_id", "h", "n_shingles", "entity").join(named, "entity", "left").select(
+        "doc_id", "h", "n_shingles", "group", F.coalesce("component_id", "doc_id").alias("component_id")
     )

@@ -36,7 +36,7 @@ WINDOW = 50
 # Bytes of the grams that anchor a window; a multiple of 8.
 GRAM = 24
 # Text whose anchors one task compares, text handled at a time, and bytes of a shard that is sorted.
-BUCKET_BYTES = 64 << 20
+BUCKET_BYTES = 16 << 20
 SLICE = 4 << 20
 SHARD_BYTES = 2 << 20
 
@@ -321,9 +321,9 @@ def _marked(rows: DataFrame, classes: DataFrame, total: int) -> DataFrame:
     wanted = wanted.select("h1", "h2", F.col("first_id").alias("doc_id"), "wanted")
     packed = rows.select(*_NAME, "text").mapInArrow(_zipped, "h1 long, h2 long, doc_id long, text binary")
     runs = written(packed.join(wanted, _NAME).mapInArrow(_stretches, _RUNS), "runs")
+    released(rows.sparkSession, sent)
 
     shards = written(runs.groupBy("anchor", "stretch").agg(F.min("doc_id").alias("first")), "stretches")
-    released(rows.sparkSession, sent)
     sums = shards.groupBy("anchor").agg(F.sum(F.octet_length("stretch")).alias("bytes"), F.count("*").alias("n"))
     sums = written(sums.where("n > 1").select("anchor", (F.col("bytes") > SHARD_BYTES).alias("full")), "compared")
     full = sums.where("full").select("anchor")

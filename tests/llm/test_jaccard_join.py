@@ -47,6 +47,59 @@ def test_groups_of_near_copies(spark):
     assert result(J.jaccard_components(simple(spark, texts))) == expected(list(enumerate(texts)))
 
 
+def test_rows_without_an_id_link(spark):
+    """A chain through a text that only rows without an id hold, several times; and a group without any id."""
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words[i : i + 40]) for i in (0, 2, 4)]
+    other = " ".join(f"x{i}" for i in range(30))
+    rows = [(1, texts[0]), (None, texts[1]), (None, texts[1]), (2, texts[2]), (None, other), (None, other + " end")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = result(J.jaccard_components(docs))
+    assert got == expected(rows)
+    assert [g[2] for g in got if g[0] is not None] == [1, 1]
+
+
+def test_one_id_with_several_texts(spark):
+    words = " ".join(f"w{i}" for i in range(60))
+    rows = [(3, words), (7, words + " end"), (7, " ".join(f"y{i}" for i in range(20))), (7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in J.jaccard_rows(docs).collect()) == [
+        (3, 56, 3), (7, 0, 7), (7, 16, 7), (7, 57, 3),
+    ]
+
+
+def test_short_sketches_bound_from_below():
+    """Folded by bytes as by bits; never further apart than the full ones."""
+    draw = np.random.Generator(np.random.PCG64(2))
+    for n in [*range(1, 70), 100, 300, 2000, 70_000]:
+        a, b = (np.unique(draw.integers(0, 2**63, n, dtype=np.uint64)) for _ in range(2))
+        bits = [J.sketch_bits(s) for s in (a, b)]
+        size = min(J.brief_bits(len(a)), J.brief_bits(len(b)))
+        folded = [J.fold_packed(np.packbits(x), len(x), size) for x in bits]
+        assert [f.tobytes() for f in folded] == [np.packbits(J._folded(x, size)).tobytes() for x in bits]
+        if len(bits[0]) == len(bits[1]):
+            assert np.bitwise_count(folded[0] ^ folded[1]).sum() <= np.count_nonzero(bits[0] != bits[1])
+
+
+def test_rows_of_a_frequent_passage_follow_its_holders(spark, monkeypatch):
+    """Otherwise different texts that share a passage: rows that are compared grow with the holders."""
+    monkeypatch.setattr(J, "RUN_CELL", 1000)
+    compared = []
+    plain = J._crossing_pairs
+
+    def counted(runs, parts, info, search):
+        compared.append(runs.count())
+        return plain(runs, parts, info, search)
+
+    monkeypatch.setattr(J, "_crossing_pairs", counted)
+    rng = random.Random(4)
+    passage = " ".join(f"p{i}" for i in range(14))
+    for holders in (500, 1500):
+        texts = [passage + " " + " ".join(f"w{rng.randrange(10**7)}" for _ in range(30)) for _ in range(holders)]
+        assert {r.component_id for r in J.jaccard_components(simple(spark, texts)).collect()} == set(range(holders))
+    assert compared[-1] <= 4 * compared[0]
+
+
 def test_keys_of_linked_sets_meet():
     """The pigeonhole: sets at the threshold always publish a common key, whatever the hashes."""
     draw = np.random.Generator(np.random.PCG64(1))

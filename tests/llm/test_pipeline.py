@@ -41,6 +41,16 @@ def test_stages(spark, sf_dir):
         docs = out
 
 
+def test_near_copies_are_judged_by_text(spark, sf_dir):
+    """One id with a copy of another document and with a text of its own: the copy goes, the other text stays, once."""
+    words = " ".join(f"w{i}" for i in range(60))
+    own = " ".join(f"y{i}" for i in range(20))
+    rows = [(3, words), (7, words + " end"), (7, own), (7, own), (9, own), (None, words), (11, ""), (11, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = C.drop_near_copies(spark, docs, sf_dir)
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == [(0, words), (3, words), (7, own), (11, "")]
+
+
 class _Row(dict):
     __getattr__ = dict.__getitem__
 
