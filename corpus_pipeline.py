@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from roadtally.llm import decontamination, mixing, sharding, toxicity
 from roadtally.llm.common import table, written
-from roadtally.llm.jaccard_join import jaccard_components
+from roadtally.llm.jaccard_join import jaccard_rows
 
 SHARDS = 24
 # Share of the tokens that the mixing stage keeps.
@@ -21,14 +21,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies the document with the smallest id, and one row of it."""
-    firsts = jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(written(firsts, "firsts"), "doc_id", "left_semi")
-    again = written(kept.groupBy("doc_id").count().where("count > 1").select("doc_id"), "again")
-    single = kept.join(again, "doc_id", "left_anti")
-    repeated = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """Of each component of near copies the text with the smallest id, and one row of it.
+
+    An id may stand for several texts: each text is judged as a document of its own. Rows without an id stay.
+    """
+    rows = jaccard_rows(docs).where("doc_id is not null")
+    first = F.min(F.struct("doc_id", "h")).alias("first")
+    firsts = rows.where("group is not null").groupBy("group").agg(first).select("first.*")
+    firsts = firsts.union(rows.where("group is null").select("doc_id", "h")).distinct()
+    name = [F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_h")]
+    placed = docs.where("doc_id is not null").select("*", *name)
+    kept = placed.join(written(firsts.toDF("_id", "_h"), "firsts"), ["_id", "_h"], "left_semi")
+    again = written(kept.groupBy("_id", "_h").count().where("count > 1").select("_id", "_h"), "again")
+    single = kept.join(again, ["_id", "_h"], "left_anti")
+    repeated = kept.join(again, ["_id", "_h"], "left_semi").dropDuplicates(["_id", "_h"])
     nameless = docs.where("doc_id is null")
-    return single.unionByName(repeated).unionByName(nameless)
+    return single.unionByName(repeated).select(*docs.columns).unionByName(nameless)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
