@@ -20,9 +20,13 @@ def newest_version(spark: SparkSession, root: str) -> Row:
     return newest
 
 
+def load_version(root: str, version: str) -> PipelineModel:
+    return PipelineModel.load(f"{root.rstrip('/')}/version={version}/model")
+
+
 def load_newest(spark: SparkSession, root: str) -> tuple[PipelineModel, Row]:
     metadata = newest_version(spark, root)
-    return PipelineModel.load(f"{root.rstrip('/')}/version={metadata['version']}/model"), metadata
+    return load_version(root, metadata["version"]), metadata
 
 
 def score(rows: DataFrame, pipeline: PipelineModel, metadata: Row) -> DataFrame:

@@ -36,10 +36,13 @@ class RollupSpec:
         fields = [f"{k} {t}" for k, t in self.keys.items()] + [f"{m} bigint" for m in self.measures]
         return ", ".join([*fields, f"{STAMP} timestamp_ntz"])
 
+    def lacks_key(self) -> Column:
+        """Whether a contribution lacks a key and so counts in no cell."""
+        return F.exists(F.array(*[F.col(k).isNull() for k in self.keys]), lambda m: m)
+
     def rejected(self, events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         """The events that lack a key and so count in no cell."""
-        missing = F.exists(F.array(*[F.col(k).isNull() for k in self.keys]), lambda m: m)
-        return events.select(*by, *self.contribution()).where(missing)
+        return events.select(*by, *self.contribution()).where(self.lacks_key())
 
     def contributions(self, events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         """Typed keys and measures of every event, narrow enough to shuffle; ``by`` columns are carried along."""

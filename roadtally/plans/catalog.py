@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roadtally.functions.casts import to_day, to_grid, to_int, to_long
@@ -17,7 +17,7 @@ from roadtally.functions.events import event_time_text, hash_bucket, severity_sc
 from roadtally.ml import frame
 from roadtally.ml.report import accuracies, classification_report, confusion
 from roadtally.ml.scoring import score
-from roadtally.ml.training import encoder_stages, train, with_prediction
+from roadtally.ml.training import encoder_stages, save, train, with_prediction
 from roadtally.operators import reports
 from roadtally.operators.colocated import ColocatedTables, append_colocated, colocate, open_colocated
 from roadtally.operators.joins import salted_join
@@ -42,7 +42,9 @@ from roadtally.sources.envelope import by_key, decode, encode, first_records
 from roadtally.sources.files import extract, lower_names, prepare_vehicles, read_csv, read_extract
 from roadtally.streaming.joined import DEMOGRAPHICS, StreamedDemographics, start_demographics
 from roadtally.streaming.jobs import replay_files, start_extract, start_rollups
+from roadtally.streaming.metrics import BatchMetrics
 from roadtally.streaming.replays import SeenEvents
+from roadtally.streaming.scores import NewestModel, start_scores
 from roadtally.streaming.state import RollupTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -423,6 +425,31 @@ def state_rows_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows_touched(GEO, merge(GEO, deltas.where(~newest)), deltas.where(newest))
 
 
+def _stored_rollup(spark: SparkSession, sf_dir: str, spec: RollupSpec, batches: int = SLICES) -> RollupTable:
+    """The table as stored batch by batch, with a compaction after every second one."""
+    table, path = RollupTable(spark, scratch_path(spark, "state"), spec), scratch_path(spark, "deltas")
+    _sliced(spark, sf_dir, spec).drop(STAMP).write.partitionBy("slice").parquet(path)
+    for batch in range(batches):
+        delta = spark.read.parquet(f"{path}/slice={batch}")
+        table.add(delta, "slices", batch, _stamp(batch))
+        if batch % 2:
+            table.compact()
+    return table
+
+
+@query
+def stored_latest_kpi_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest rows of a stored table, from the periods that hold them."""
+    return reports.latest(_stored_rollup(spark, sf_dir, GEO).newest(50), list(GEO.keys))
+
+
+@query
+def stored_rows_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the stored table that the batch to come will change, from the periods that it touches."""
+    newest = _sliced(spark, sf_dir, GEO).where(F.col("slice") == SLICES - 1)
+    return _stored_rollup(spark, sf_dir, GEO, SLICES - 1).touched(newest)
+
+
 @query
 def dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole event table delivered twice, counted once."""
@@ -523,6 +550,44 @@ def _stream_extract(spark: SparkSession, sf_dir: str, stream: str) -> DataFrame:
     return read_extract(spark, path, stream)
 
 
+@query
+def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vehicles scored as they arrive; between the two halves a newer model is stored, which the stream takes up."""
+    paths = [scratch_path(spark, n) for n in ("messages", "models", "scores", "checkpoint")]
+    sent = _messages(spark, sf_dir, "vehicles")
+    source = NewestModel(spark, paths[1], max_age=0)
+    for part in range(2):
+        save(train(fixtures.vehicles(spark, sf_dir), fixtures.accidents(spark, sf_dir), seed=part), paths[1])
+        half = sent.where(hash_bucket("key", 2) == part)
+        half.repartition(SLICES, "key", "value").write.mode("append").parquet(paths[0])
+        start_scores(replay_files(spark, paths[0], 2), source, paths[2], paths[3], True).awaitTermination()
+    scored = spark.read.parquet(paths[2])
+    models = Window.orderBy("model_trained_at")  # over a row per model
+    order = scored.select("model_version", "model_trained_at").distinct().withColumn("model", F.row_number().over(models))
+    ranked = F.size("ranked").alias("ranked"), F.round(F.aggregate(F.map_values("probabilities"), F.lit(0.0), lambda a, b: a + b), 9).alias("total")
+    return scored.join(F.broadcast(order.drop("model_trained_at")), "model_version").select(KEY_COLUMN, *frame.FEATURES, "model", *ranked)
+
+
+@query
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that two rollups and the extract of a stream took and rejected, undecodable messages included."""
+    paths = [scratch_path(spark, n) for n in ("messages", "state", "extract", "metrics")]
+    bad = F.when(hash_bucket("key", 7) == 0, F.lit("{no json")).otherwise(F.col("value").cast("string"))
+    sent = _messages(spark, sf_dir, "accidents", place=False).withColumn("value", bad)
+    sent.repartition(SLICES, "key", "value").write.parquet(paths[0])
+    metrics = BatchMetrics(spark, paths[3])
+    messages = replay_files(spark, paths[0], 1)
+    started = [
+        start_rollups(messages, [GEO, CONDITIONS], paths[1], f"{paths[1]}-checkpoint", True, stamp=_stamp, metrics=metrics),
+        start_extract(messages, "accidents", paths[2], f"{paths[2]}-checkpoint", True, metrics=metrics),
+    ]
+    for running in started:
+        running.awaitTermination()
+    totals = metrics.read().groupBy("target").agg(F.sum("events").alias("events"), F.sum("rejected").alias("rejected"))
+    batches = metrics.read().groupBy("target").agg(F.count("*").alias("batches"))
+    return totals.join(batches.where(F.col("batches") == SLICES), "target").select("target", "events", "rejected")
+
+
 @query
 def stream_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vehicles first, their accidents hours later in two parts with a restart between them, and a batch delivered once more."""

@@ -241,6 +241,13 @@ ORACLE: dict[str, str] = {
           and exists (select 1 from sliced d where d.slice = 3 and d.event_date = s.event_date and d.lat_grid = s.lat_grid and d.lon_grid = s.lon_grid)
           group by 1, 2, 3)
         select {GEO_KEYS}, {GEO_MEASURES}, {STAMPED} from touched""",
+    "stored_latest_kpi_geo": f"{GEO}, newest_rows as (select * from geo order by newest desc, event_date, lat_grid, lon_grid limit 50) select {GEO_KEYS}, {GEO_MEASURES}, {STAMPED} from newest_rows",
+    "stored_rows_touched": f"""{_with(ACCIDENTS, GEO_ROWS)},
+        sliced as (select *, {_hash(4)} as slice from geo_rows),
+        touched as (select event_date, lat_grid, lon_grid, {GEO_SUMS}, {NEWEST} from sliced s where slice < 3
+          and exists (select 1 from sliced d where d.slice = 3 and d.event_date = s.event_date and d.lat_grid = s.lat_grid and d.lon_grid = s.lon_grid)
+          group by 1, 2, 3)
+        select {GEO_KEYS}, {GEO_MEASURES}, {STAMPED} from touched""",
     "dedup_events": "select event_type as stream, event_id as seq, user_id, value, props from events",
     "stream_kpi_geo": GEO_RESULT,
     "stream_replayed_kpi_geo": GEO_RESULT,
@@ -249,6 +256,14 @@ ORACLE: dict[str, str] = {
     "stream_conditions": CONDITION_RESULT,
     "stream_hotspots": HOTSPOT_RESULT,
     "stream_vehicle_profile": PROFILE_RESULT,
+    "stream_scores": f"""{_with(VEHICLES)} select accident_index, age_band_of_driver, sex_of_driver, vehicle_type,
+        cast({_hash(2)} + 1 as integer) as model, cast(3 as integer) as ranked, cast(1 as double) as total from vehicles""",
+    "stream_rejects": f"""{_with(ACCIDENTS)},
+        sent as (select {_hash(7)} = 0 as bad, {DAY} is null as no_day, try_cast(latitude as double) is null or try_cast(longitude as double) is null as no_place,
+          try_cast(speed_limit as double) is null as no_speed from accidents)
+        select 'accident_kpi_geo' as target, count(*) as events, count(*) filter (where bad or no_day or no_place) as rejected from sent
+        union all select 'accident_conditions', count(*), count(*) filter (where bad or no_day or no_speed) from sent
+        union all select 'extract_accidents', count(*), count(*) filter (where bad) from sent""",
     "stream_demographics": f"""{_with(ACCIDENTS, VEHICLES)} select '2024-01-01' as processing_date, {DEMOGRAPHIC_KEYS}, count(*) as joined_count
         from vehicles join accidents using (accident_index) group by {DEMOGRAPHIC_KEYS}""",
     "stream_extract_accidents": ACCIDENT_EXTRACT,

@@ -1,0 +1,50 @@
+"""Counts of kept and rejected events: with the job that stores them, after a crash, for several targets."""
+
+from pyspark.sql import functions as F
+
+from roadtally.operators.rollups import CONDITIONS, GEO
+from roadtally.streaming.jobs import replay_files, rollup_handler, start_extract, start_rollups
+from roadtally.streaming.metrics import BatchMetrics
+from roadtally.streaming.state import RollupTable
+from tests import micro
+from tests.test_streaming import T0, accident_files, messages
+
+
+def found(metrics):
+    return sorted((r["target"], r["events"], r["rejected"]) for r in metrics.read().collect())
+
+
+def rejected(spark, spec):
+    return spec.rejected(micro.accidents(spark)).count()
+
+
+def test_rollups_and_extract(spark, tmp_path):
+    metrics = BatchMetrics(spark, f"{tmp_path}/m")
+    assert found(metrics) == []
+    start_rollups(accident_files(spark, f"{tmp_path}/in"), [GEO, CONDITIONS], f"{tmp_path}/t", f"{tmp_path}/c", True, metrics=metrics).awaitTermination()
+    bad = messages(micro.accidents(spark, "A1"), "accidents").withColumn("value", F.lit("{broken"))
+    bad.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    start_extract(replay_files(spark, f"{tmp_path}/in"), "accidents", f"{tmp_path}/x", f"{tmp_path}/cx", True, metrics=metrics).awaitTermination()
+    sums = metrics.read().groupBy("target").agg(F.sum("events"), F.sum("rejected"), F.count("*")).collect()
+    assert sorted(tuple(r) for r in sums) == [
+        ("accident_conditions", 6, rejected(spark, CONDITIONS), 3),
+        ("accident_kpi_geo", 6, rejected(spark, GEO), 3),
+        ("extract_accidents", 7, 1, 4),
+    ]
+
+
+def test_a_lost_line_is_counted_again(spark, tmp_path, monkeypatch):
+    """The table has the batch, the line was not written; the repeated batch writes it, and once."""
+    batch, table = micro.accidents(spark), RollupTable(spark, f"{tmp_path}/t", GEO)
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", "q")
+    try:
+        stamp = lambda _: F.lit(T0)
+        rollup_handler([table], stamp)(batch, 0)
+        metrics = BatchMetrics(spark, f"{tmp_path}/m")
+        rollup_handler([table], stamp, metrics=metrics)(batch, 0)
+        assert found(metrics) == [("accident_kpi_geo", 6, rejected(spark, GEO))]
+        monkeypatch.setattr(BatchMetrics, "write", None)  # not needed again
+        rollup_handler([table], stamp, metrics=metrics)(batch, 0)
+    finally:
+        spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
+    assert found(metrics) == [("accident_kpi_geo", 6, rejected(spark, GEO))]
