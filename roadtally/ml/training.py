@@ -6,9 +6,11 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.linalg import DenseMatrix, DenseVector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,15 +25,13 @@ from roadtally.ml.frame import (
     split_groups,
     target_distribution,
 )
+from roadtally.ml.newton import newton
 from roadtally.ml.report import accuracies
 from roadtally.session import checkpointed
 from roadtally.sources.files import read_extract
 
-# Inverse regularisation strength and iteration limit.
+# Fixed value: inverse regularisation strength.
 C = 1.0
-MAX_ITER = 2000
-# Relative change of the objective below which the line search can resolve no further step.
-TOLERANCE = 1e-7
 
 METADATA_SCHEMA = (
     "version string, feature_columns array<string>, classes array<string>,"
@@ -68,29 +68,39 @@ def encoder_stages() -> list:
 def fit(groups: DataFrame, classes: list[str]) -> PipelineModel:
     """Class-balanced multinomial logistic regression on the training counts of split groups.
 
-    A group of n equal rows is one row of weight n, which leaves the objective unchanged. Spark averages the
-    loss over the weights, so the penalty 1/(2C) of a summed loss becomes 1/(C * sum of weights); balanced
-    weights sum to the number of rows.
+    A group of n equal rows is one row of weight n, which leaves the objective unchanged. Each class must have training rows.
     """
-    balanced = {r[TARGET]: r for r in class_weights(groups).collect()}  # a row per severity class
-    rows = sum(r["n"] for r in balanced.values())
-    label, weight = F.lit(None).cast("double"), F.lit(0.0)
+    balanced = {r[TARGET]: r["weight"] for r in class_weights(groups).collect()}  # a row per severity class
+    label, weight = F.lit(None).cast("int"), F.lit(0.0)
     for position, name in enumerate(classes):
         is_class = F.col(TARGET) == name
-        label = F.when(is_class, F.lit(float(position))).otherwise(label)
-        weight = F.when(is_class, F.lit(balanced[name]["weight"] if name in balanced else 0.0)).otherwise(weight)
+        label = F.when(is_class, F.lit(position)).otherwise(label)
+        weight = F.when(is_class, F.lit(balanced[name])).otherwise(weight)
     weighted = groups.where("n_train > 0").select(
-        *FEATURES, label.alias("label"), (F.col("n_train") * weight).alias("row_weight")
+        *FEATURES, label.alias("label"), (F.col("n_train") * weight).alias("weight")
     )
-    classifier = LogisticRegression(
-        weightCol="row_weight",
-        regParam=1.0 / (C * rows),
-        elasticNetParam=0.0,
-        standardization=False,
-        maxIter=MAX_ITER,
-        tol=TOLERANCE,
-    )
-    return Pipeline(stages=[*encoder_stages(), classifier]).fit(weighted)
+    encoder = Pipeline(stages=encoder_stages()).fit(weighted)
+    slots, known = [F.lit(0)], 1
+    for feature, values in zip(FEATURES, encoder.stages[0].labelsArray, strict=True):
+        slots.append((F.col(f"{feature}_index") + known).cast("int"))
+        known += len(values)
+    rows = encoder.transform(weighted).select(F.array(*slots).alias("slots"), "label", "weight").persist()
+    try:
+        weights = newton(rows, len(classes), known, 1.0 / C)
+    finally:
+        rows.unpersist()
+    return PipelineModel(stages=[*encoder.stages, _classifier(weights)])
+
+
+def _classifier(weights: np.ndarray) -> LogisticRegressionModel:
+    """Spark's model for given coefficients; the intercepts come first in each class's row."""
+    classes, slots = weights.shape
+    matrix = DenseMatrix(classes, slots - 1, weights[:, 1:].ravel().tolist(), isTransposed=True)
+    intercepts = DenseVector(weights[:, 0])
+    name = "org.apache.spark.ml.classification.LogisticRegressionModel"
+    uid = f"LogisticRegression_{uuid.uuid4().hex[:12]}"
+    made = LogisticRegressionModel._new_java_obj(name, uid, matrix, intercepts, classes, True)
+    return LogisticRegressionModel(made)
 
 
 def with_prediction(rows: DataFrame, pipeline: PipelineModel, classes: list[str]) -> DataFrame:
@@ -119,7 +129,8 @@ def train(
     if sizes["total"] < min_rows:
         raise ValueError(f"too few clean rows to train on: {sizes['total']} < {min_rows}")
     shares = {r[TARGET]: r["share"] for r in target_distribution(groups).collect()}
-    classes = sorted(shares)
+    fitted = {r[TARGET] for r in class_weights(groups).select(TARGET).collect()}
+    classes = sorted(set(shares) & fitted)
     pipeline = fit(groups, classes)
     predicted = with_prediction(groups, pipeline, classes)
     scores = {r["part"]: r["accuracy"] for r in accuracies(predicted).collect()}

@@ -685,12 +685,12 @@ def _model(spark: SparkSession, sf_dir: str):
 
 @query
 def severity_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fitted weight per class and feature slot; slot -1 is the intercept."""
+    """Fitted weight per class and feature slot, rounded; slot -1 is the intercept."""
     model = _model(spark, sf_dir)
     fitted = model.pipeline.stages[-1]
     matrix, intercepts = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
     rows = [
-        (name, slot, float(w))
+        (name, slot, round(float(w), 6) + 0.0)
         for name, intercept, weights in zip(model.classes, intercepts, matrix)
         for slot, w in enumerate([intercept, *weights], start=-1)
     ]
@@ -700,13 +700,15 @@ def severity_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def model_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = _model(spark, sf_dir)
-    return accuracies(with_prediction(model.groups, model.pipeline, model.classes))
+    found = accuracies(with_prediction(model.groups, model.pipeline, model.classes))
+    return found.select("part", F.round("accuracy", 9).alias("accuracy"))
 
 
 @query
 def classification_report_(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = _model(spark, sf_dir)
-    return classification_report(confusion(with_prediction(model.groups, model.pipeline, model.classes), "n_test"))
+    report = classification_report(confusion(with_prediction(model.groups, model.pipeline, model.classes), "n_test"))
+    return report.select("class", "support", *[F.round(m, 9).alias(m) for m in ("precision", "recall", "f1")])
 
 
 @query
@@ -719,10 +721,19 @@ def rule_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All vehicles scored with a model trained on all of them."""
+    """All vehicles scored with a model trained on all of them: the best class, and the classes ranked with percentages."""
     model = _model(spark, sf_dir)
     rows = fixtures.vehicles(spark, sf_dir).select("accident_index", *frame.FEATURES)
-    return score(rows, model.pipeline, model.metadata.first())
+    scored = score(rows, model.pipeline, model.metadata.first())
+    percent = F.transform("ranked", lambda r: F.concat_ws(" ", r["class"], F.round(r["probability"] * 100, 4).cast("decimal(9,4)")))
+    return scored.select(
+        "accident_index",
+        *frame.FEATURES,
+        "predicted_severity",
+        F.array_join(percent, ", ").alias("ranked"),
+        "model_n_samples",
+        F.round("model_accuracy_test", 9).alias("model_accuracy_test"),
+    )
 
 
 # --- composite outputs ---------------------------------------------------------------------------------------

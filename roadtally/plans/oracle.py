@@ -163,6 +163,82 @@ PROFILE_RESULT = f"{PROFILE} select {PROFILE_KEYS}, vehicle_count, age_of_vehicl
 ACCIDENT_EXTRACT = f"{_with(ACCIDENTS)} select accident_index, accident_severity from accidents"
 VEHICLE_EXTRACT = f"{_with(VEHICLES)} select accident_index, age_band_of_driver, sex_of_driver, vehicle_type from vehicles"
 
+# Newton steps for the balanced, penalised classifier: each step sums gradient and Hessian over the groups and solves for
+# the change by elimination. Slot 0 is the intercept; a coefficient has number class * slots + slot.
+NEWTON_STEPS = 12
+MODEL = f"""{FRAME.replace("with ", "with recursive ", 1)}, {SPLIT.strip()},
+trained as (select *, n - n_test as n_train from parts where n > n_test),
+class_rows as (select accident_severity, sum(n_train) as rows from trained group by 1),
+known as (select accident_severity, cast(row_number() over (order by accident_severity) - 1 as integer) as label,
+  cast(sum(rows) over () as double) / cast(count(*) over () * rows as double) as balance from class_rows),
+options as (select f, value, cast(row_number() over (order by f, value) as integer) as slot from (
+  select distinct 1 as f, age_band_of_driver as value from trained union all
+  select distinct 2, sex_of_driver from trained union all select distinct 3, vehicle_type from trained)),
+dims as (select (select count(*) from options) + 1 as slots, (select count(*) from known) as classes),
+weighted as (select label, n_train * balance as weight, [0, a.slot, s.slot, t.slot] as active
+  from trained join known using (accident_severity) join options a on a.f = 1 and a.value = age_band_of_driver
+  join options s on s.f = 2 and s.value = sex_of_driver join options t on t.f = 3 and t.value = vehicle_type),
+newton(step, w) as (
+  select 0, list_transform(range(slots * classes), lambda x: cast(0 as double)) from dims
+  union all
+  select step + 1, list_transform(w, lambda x, q: x - solved[q][len(w) + 1]) from (
+    select step, w, list_reduce(
+      list_transform(range(-1, len(w)), lambda k: {{'k': k, 'a': case when k < 0 then matrix else cast([] as double[][]) end}}),
+      lambda acc, e: {{'k': e.k, 'a': list_transform(acc.a, lambda line, i: list_transform(line, lambda x, q:
+        case when i - 1 = e.k then x / acc.a[e.k + 1][e.k + 1]
+        else x - line[e.k + 1] * acc.a[e.k + 1][q] / acc.a[e.k + 1][e.k + 1] end))}}).a as solved
+    from (
+      select step, w, list(line order by r) as matrix from (
+        select step, w, r, list(value order by q) as line from (
+          select step, w, r, q,
+            case when q < slots * classes then
+              coalesce(sum(weight * p[r // slots + 1] * (cast(r // slots = q // slots as integer) - p[q // slots + 1]))
+                filter (where list_contains(active, r % slots) and list_contains(active, q % slots)), 0)
+              + cast(r = q and r % slots > 0 as integer) + cast(r % slots = 0 and q % slots = 0 as integer)
+            else
+              coalesce(sum(weight * (p[r // slots + 1] - cast(label = r // slots as integer))) filter (where list_contains(active, r % slots)), 0)
+              + cast(r % slots > 0 as integer) * w[r + 1] end as value
+          from (
+            select step, w, label, weight, active, slots, classes, list_transform(e, lambda x: x / list_sum(e)) as p from (
+              select *, list_transform(z, lambda x: exp(x - list_max(z))) as e from (
+                select step, w, label, weight, active, slots, classes,
+                  list_transform(range(classes), lambda c: list_sum(list_transform(active, lambda s: w[c * slots + s + 1]))) as z
+                from newton, weighted, dims where step < {NEWTON_STEPS}))) scored,
+            (select unnest(range(slots * classes)) as r from dims) lines,
+            (select unnest(range(slots * classes + 1)) as q from dims) places
+          group by step, w, r, q, slots, classes)
+        group by step, w, r)
+      group by step, w))),
+fitted as (select w from newton where step = {NEWTON_STEPS}),
+coefficients as (select accident_severity, label, list_slice(w, label * slots + 1, (label + 1) * slots) as w from fitted, dims, known)"""
+
+CASES = """
+scores as (select cases.*, accident_severity as class, label,
+    c.w[1] + coalesce(c.w[a.slot + 1], 0) + coalesce(c.w[s.slot + 1], 0) + coalesce(c.w[t.slot + 1], 0) as z
+  from cases cross join coefficients c left join options a on a.f = 1 and a.value = age_band_of_driver
+  left join options s on s.f = 2 and s.value = sex_of_driver left join options t on t.f = 3 and t.value = vehicle_type),
+raised as (select *, exp(z - max(z) over (partition by age_band_of_driver, sex_of_driver, vehicle_type)) as e from scores),
+chances as (select *, e / sum(e) over (partition by age_band_of_driver, sex_of_driver, vehicle_type) as p,
+    row_number() over (partition by age_band_of_driver, sex_of_driver, vehicle_type order by z desc, label) as place from raised),
+best as (select age_band_of_driver, sex_of_driver, vehicle_type, class as predicted from chances where place = 1)"""
+PREDICTED = f"""{MODEL}, cases as (select distinct age_band_of_driver, sex_of_driver, vehicle_type from parts), {CASES.strip()},
+predicted_parts as (select parts.*, predicted from parts join best using (age_band_of_driver, sex_of_driver, vehicle_type))"""
+ACCURACY = "cast(sum({0}) filter (where predicted = accident_severity) as double) / cast(sum({0}) as double)"
+REPORT = """classes as (select actual as class from ruled union select predicted from ruled),
+        sums as (select class,
+          coalesce((select sum(n) from ruled where actual = class), 0) as support,
+          coalesce((select sum(n) from ruled where predicted = class), 0) as claimed,
+          coalesce((select sum(n) from ruled where actual = class and predicted = class), 0) as hits from classes),
+        per_class as (select class, cast(support as bigint) as support,
+          coalesce(cast(hits as double) / nullif(cast(claimed as double), 0), 0) as precision,
+          coalesce(cast(hits as double) / nullif(cast(support as double), 0), 0) as recall,
+          coalesce(cast(2 * hits as double) / nullif(cast(claimed + support as double), 0), 0) as f1 from sums),
+        report as (select class, support, precision, recall, f1 from per_class
+          union all select 'accuracy', cast(sum(support) as bigint), null, null, cast(sum(hits) as double) / cast(sum(support) as double) from sums
+          union all select 'macro avg', cast(sum(support) as bigint), avg(precision), avg(recall), avg(f1) from per_class
+          union all select 'weighted avg', cast(sum(support) as bigint), sum(precision * support) / sum(support), sum(recall * support) / sum(support), sum(f1 * support) / sum(support) from per_class)
+        select class, support, round(precision, 9) as precision, round(recall, 9) as recall, round(f1, 9) as f1 from report"""
+
 ORACLE: dict[str, str] = {
     "prep_filter_sort": f"{_with(VEHICLES)} select * from vehicles where not starts_with(accident_index, '2004') order by accident_index",
     "csv_latin1_subset": f"{_with(ACCIDENTS)} select accident_index, accident_severity, concat(road_type, ' é') as road_type from accidents",
@@ -295,23 +371,31 @@ ORACLE: dict[str, str] = {
           || array_to_string([case when k = sex_of_driver then '1' else '0' end for k in sexes.known], '')
           || array_to_string([case when k = vehicle_type then '1' else '0' end for k in types.known], '') as slots
         from combinations, ages, sexes, types""",
+    "severity_coefficients": f"""{MODEL}
+        select accident_severity as severity, cast(s - 1 as integer) as slot, round(w[s + 1], 6) + 0 as weight
+        from coefficients, (select unnest(range(slots)) as s from dims) places""",
+    "model_accuracy": f"""{PREDICTED}
+        select 'train' as part, round({ACCURACY.format("n - n_test")}, 9) as accuracy from predicted_parts
+        union all select 'test', round({ACCURACY.format("n_test")}, 9) from predicted_parts""",
+    "classification_report": f"""{PREDICTED},
+        ruled as (select accident_severity as actual, n_test as n, predicted from predicted_parts where n_test > 0),
+        {REPORT}""",
+    "score_batch": f"""{MODEL}, cases as (select distinct age_band_of_driver, sex_of_driver, vehicle_type from vehicles), {CASES.strip()},
+        ranks as (select age_band_of_driver, sex_of_driver, vehicle_type,
+          string_agg(class || ' ' || cast(cast(round(p * 100, 4) as decimal(9, 4)) as varchar), ', ' order by p desc, class) as ranked
+          from chances group by 1, 2, 3),
+        tested as (select accident_severity, n_test, arg_max(class, (z, -label)) as predicted
+          from parts join scores using (age_band_of_driver, sex_of_driver, vehicle_type)
+          group by age_band_of_driver, sex_of_driver, vehicle_type, accident_severity, n_test)
+        select accident_index, age_band_of_driver, sex_of_driver, vehicle_type, predicted as predicted_severity, ranked,
+          (select cast(sum(n) as bigint) from parts) as model_n_samples,
+          (select round({ACCURACY.format("n_test")}, 9) from tested) as model_accuracy_test
+        from vehicles join best using (age_band_of_driver, sex_of_driver, vehicle_type)
+        join ranks using (age_band_of_driver, sex_of_driver, vehicle_type)""",
     "rule_report": f"""{FRAME},
         ruled as (select accident_severity as actual, n,
           case when sex_of_driver = 'Male' then 'Slight' when age_band_of_driver < '26' then 'Serious' else 'Fatal' end as predicted from groups),
-        classes as (select actual as class from ruled union select predicted from ruled),
-        sums as (select class,
-          coalesce((select sum(n) from ruled where actual = class), 0) as support,
-          coalesce((select sum(n) from ruled where predicted = class), 0) as claimed,
-          coalesce((select sum(n) from ruled where actual = class and predicted = class), 0) as hits from classes),
-        per_class as (select class, cast(support as bigint) as support,
-          coalesce(cast(hits as double) / nullif(cast(claimed as double), 0), 0) as precision,
-          coalesce(cast(hits as double) / nullif(cast(support as double), 0), 0) as recall,
-          coalesce(cast(2 * hits as double) / nullif(cast(claimed + support as double), 0), 0) as f1 from sums),
-        report as (select class, support, precision, recall, f1 from per_class
-          union all select 'accuracy', cast(sum(support) as bigint), null, null, cast(sum(hits) as double) / cast(sum(support) as double) from sums
-          union all select 'macro avg', cast(sum(support) as bigint), avg(precision), avg(recall), avg(f1) from per_class
-          union all select 'weighted avg', cast(sum(support) as bigint), sum(precision * support) / sum(support), sum(recall * support) / sum(support), sum(f1 * support) / sum(support) from per_class)
-        select class, support, round(precision, 9) as precision, round(recall, 9) as recall, round(f1, 9) as f1 from report""",
+        {REPORT}""",
     "snapshot_document": f"""{GEO}, {CONDITIONS.removeprefix(_with(ACCIDENTS) + ', ')}, {HOTSPOTS.removeprefix(_with(ACCIDENTS) + ', ')},
         {PROFILE.removeprefix('with ')},
         stats as (select {TOTALS}, {ISO_STAMP.format('max(newest)')} as last_update from geo),
