@@ -14,7 +14,10 @@ from roadtally.streaming.state import RollupTable
 from tests import micro
 from tests.test_streaming import messages
 
-DAY = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def day():
+    return F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def rows(df):
@@ -45,22 +48,22 @@ def test_sides_in_any_order(spark, tmp_path, joined, order):
     batches = [{"vehicles": part(vehicles, i)} for i in range(2)] + [{"accidents": part(accidents, i)} for i in range(2)]
     for batch_id, at in enumerate(order):
         events = {**none, **batches[at]}
-        joined.add(events, "q", batch_id, DAY)
-        reopened(joined, spark, tmp_path).add(events, "q", batch_id, DAY)  # delivered again
+        joined.add(events, "q", batch_id, day())
+        reopened(joined, spark, tmp_path).add(events, "q", batch_id, day())  # delivered again
         if batch_id == 1:
             joined.compact()
     assert rows(joined.table.read()) == expected(spark)
 
 
 def test_both_sides_in_one_batch(spark, joined):
-    joined.add({"vehicles": micro.vehicles(spark), "accidents": micro.accidents(spark)}, "q", 0, DAY)
+    joined.add({"vehicles": micro.vehicles(spark), "accidents": micro.accidents(spark)}, "q", 0, day())
     assert rows(joined.table.read()) == expected(spark)
 
 
 def test_only_touched_buckets_are_read(spark, tmp_path):
     joined = StreamedDemographics(spark, str(tmp_path), buckets=64)
     vehicles, accidents = micro.vehicles(spark), micro.accidents(spark)
-    joined.add({"vehicles": vehicles, "accidents": accidents.limit(0)}, "q", 0, DAY)
+    joined.add({"vehicles": vehicles, "accidents": accidents.limit(0)}, "q", 0, day())
     joined.compact()
     side = joined.sides["vehicles"]
     one = micro.accidents(spark, "A1").select("accident_index").dropna()
@@ -81,7 +84,7 @@ def test_a_crash_after_the_counts_were_stored(spark, tmp_path, monkeypatch):
 
     def started():
         sides = [replay_files(spark, f"{tmp_path}/{side}", 1) for side in ("a", "v")]
-        return start_demographics(*sides, f"{tmp_path}/t", f"{tmp_path}/c", True, stamp=lambda _: DAY, compact_every=1)
+        return start_demographics(*sides, f"{tmp_path}/t", f"{tmp_path}/c", True, stamp=lambda _: day(), compact_every=1)
 
     monkeypatch.setattr(RollupTable, "add", failing)
     with pytest.raises(StreamingQueryException):
@@ -98,5 +101,5 @@ def test_replayed_messages_count_once(spark, tmp_path):
         for side, rows_ in sides.items():
             rows_.write.mode("append").parquet(f"{tmp_path}/{side}")
         streams = [replay_files(spark, f"{tmp_path}/{side}", 1) for side in ("a", "v")]
-        start_demographics(*streams, f"{tmp_path}/t", f"{tmp_path}/c", True, stamp=lambda _: DAY, seen=seen).awaitTermination()
+        start_demographics(*streams, f"{tmp_path}/t", f"{tmp_path}/c", True, stamp=lambda _: day(), seen=seen).awaitTermination()
     assert rows(StreamedDemographics(spark, f"{tmp_path}/t").table.read()) == expected(spark)
