@@ -80,8 +80,11 @@ def recompute_all(events: Mapping[str, DataFrame], stamp: Column) -> dict[str, D
 
 
 def store(table: DataFrame, path: str, period: str) -> None:
-    """Write a batch table below ``path``; the periods (say days) that it holds replace those stored before."""
-    placed = table.withColumn("_period", F.col(period).cast("string")).repartition("_period")
+    """Write a batch table below ``path``; the periods (say days) that it holds replace those stored before.
+
+    Rows are rebalanced by period: small periods share a task, and a large one is split over several, with a file from each.
+    """
+    placed = table.withColumn("_period", F.col(period).cast("string")).hint("rebalance", F.col("_period"))
     writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("_period").parquet(path)
 
