@@ -41,8 +41,8 @@ RUN_CELL = 8192
 # Orders of the keys under which entities are paired by their smallest key.
 KEY_ORDERS = 8
 
-# Bits of the short sketch that travels with every key: at most, and for the smallest sets.
-MOST_BRIEF, LEAST_BRIEF = 1 << 15, 64
+# Bits of the sketch that travels with every key at most; larger ones are folded.
+MOST_BRIEF = 1 << 15
 
 FEATURES = "doc_id long, h long, n_shingles long, entity long, sketch binary, brief binary, keys array<long>"
 # In place of a missing id, so that such rows can be joined; other ids come before it.
@@ -100,8 +100,8 @@ def _folded(bits: np.ndarray, size: int) -> np.ndarray:
 
 
 def brief_bits(n: int) -> int:
-    """Bits of the short sketch of a set of this size: a quarter of the full one, within bounds."""
-    return min(4 << band(n), max(LEAST_BRIEF, min(1 << band(n), MOST_BRIEF)))
+    """Bits of the sketch that travels with a set of this size."""
+    return min(4 << band(n), MOST_BRIEF)
 
 
 def fold_packed(sketch: np.ndarray, bits: int, size: int) -> np.ndarray:

@@ -318,12 +318,13 @@ def _marked(rows: DataFrame, classes: DataFrame, total: int) -> DataFrame:
     asked = sent.where("data is not null").select("bucket", "data")
     pairs = pairs.unionByName(asked.groupBy("bucket").applyInArrow(_shared, "h1 long, anchor long"))
     wanted = pairs.groupBy("h1").agg(F.collect_set("anchor").alias("wanted")).join(classes, "h1")
-    wanted = wanted.select("h1", "h2", F.col("first_id").alias("doc_id"), "wanted")
+    wanted = written(wanted.select("h1", "h2", F.col("first_id").alias("doc_id"), "wanted"), "wanted")
+    released(rows.sparkSession, sent)
     packed = rows.select(*_NAME, "text").mapInArrow(_zipped, "h1 long, h2 long, doc_id long, text binary")
     runs = written(packed.join(wanted, _NAME).mapInArrow(_stretches, _RUNS), "runs")
-    released(rows.sparkSession, sent)
-
+    released(rows.sparkSession, wanted)
     shards = written(runs.groupBy("anchor", "stretch").agg(F.min("doc_id").alias("first")), "stretches")
+    released(rows.sparkSession)
     sums = shards.groupBy("anchor").agg(F.sum(F.octet_length("stretch")).alias("bytes"), F.count("*").alias("n"))
     sums = written(sums.where("n > 1").select("anchor", (F.col("bytes") > SHARD_BYTES).alias("full")), "compared")
     full = sums.where("full").select("anchor")
@@ -346,9 +347,10 @@ def _marked(rows: DataFrame, classes: DataFrame, total: int) -> DataFrame:
     occurrences = runs.select("anchor", F.xxhash64("stretch").alias("tag"), *_NAME, "at")
     spans = occurrences.join(found, ["anchor", "tag"]).where("first < doc_id")
     span = F.struct((F.col("at") + F.col("low")).alias("start"), (F.col("at") + F.col("high") + WINDOW).alias("stop"))
-    marks = spans.groupBy(*_NAME).agg(F.collect_list(span).alias("marks"))
+    marks = written(spans.groupBy(*_NAME).agg(F.collect_list(span).alias("marks")), "marks")
+    released(rows.sparkSession, runs, found)
     left = packed.join(marks, _NAME)
     left = left.mapInArrow(_kept, "h1 long, h2 long, doc_id long, n_removed long, n_spans long, kept_sha256 string")
     out = written(left.dropDuplicates(_NAME), "marked")
-    released(rows.sparkSession, runs, found)
+    released(rows.sparkSession, marks)
     return out
