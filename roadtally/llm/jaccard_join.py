@@ -268,6 +268,18 @@ def _every(batches):
     yield from _crossing(batches, False)
 
 
+def _open_runs(runs: DataFrame, parts: DataFrame) -> DataFrame:
+    """The runs of keys whose holders lie in more than one component.
+
+    Components only merge, so a key whose holders share one component stays so, and later rounds need not read it again.
+    """
+    placed = runs.join(parts, F.col("entity") == F.col("node"), "left").select(
+        "key", "entity", F.coalesce("component", "entity").alias("component")
+    )
+    open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return written(placed.join(open_keys.where("low != high").select("key"), "key").select("key", "entity"), "open_runs")
+
+
 def _crossing_pairs(runs: DataFrame, parts: DataFrame, info: DataFrame, search) -> DataFrame:
     """Candidate pairs ``(a, b)`` of entities that share a key but no component yet, from cells of each key's holders."""
     placed = runs.join(parts, F.col("entity") == F.col("node"), "left").select(
@@ -384,11 +396,19 @@ def jaccard_rows(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         return found
 
     tested(_look_alikes(runs))
-    while tried := (near := _crossing_pairs(runs, parts, info, _nearest)).count():
+    held = []  # the open runs of the last round
+
+    def still_open() -> DataFrame:
+        more = _open_runs(held[0] if held else runs, parts)
+        released(spark, *held)
+        held[:] = [more]
+        return more
+
+    while tried := (near := _crossing_pairs(still_open(), parts, info, _nearest)).count():
         found = tested(near)
         released(spark, near)
         if 2 * found < tried:
-            rest = _crossing_pairs(runs, parts, info, _every)
+            rest = _crossing_pairs(still_open(), parts, info, _every)
             tested(rest)
             released(spark, rest)
             break
@@ -403,7 +423,7 @@ def jaccard_rows(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         ),
         "members",
     )
-    released(spark, info, runs, *verified, *labels)
+    released(spark, info, runs, *held, *verified, *labels)
     return features.select("doc_id", "h", "n_shingles", "entity").join(named, "entity", "left").select(
         "doc_id", "h", "n_shingles", "group", F.coalesce("component_id", "doc_id").alias("component_id")
     )

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from roadtally.llm import jaccard_join as J
 from roadtally.llm.queries import op6_jaccard_join
@@ -113,3 +114,27 @@ def test_keys_of_linked_sets_meet():
             assert np.intersect1d(J.published_keys(a), J.published_keys(b)).size
             sketches = [np.packbits(J.sketch_bits(s)).tobytes() for s in (a, b)]
             assert J.may_link(len(a), sketches[0], len(b), sketches[1])
+
+
+def test_rounds_read_only_keys_of_holders_in_different_components(spark, monkeypatch):
+    """Keys whose holders are joined already stay so; a round that reads them again shuffles them for nothing."""
+    closed = []
+    plain = J._crossing_pairs
+
+    def checked(runs, parts, info, search):
+        placed = runs.join(parts, F.col("entity") == F.col("node"), "left").select(
+            "key", F.coalesce("component", "entity").alias("component")
+        )
+        closed.append(placed.groupBy("key").agg(F.countDistinct("component").alias("n")).where("n = 1").count())
+        return plain(runs, parts, info, search)
+
+    monkeypatch.setattr(J, "_crossing_pairs", checked)
+    rng = random.Random(7)
+    passage = " ".join(f"p{i}" for i in range(14))
+    copy = " ".join(f"c{i}" for i in range(60))
+    texts = [copy] * 3 + [copy + " extra"] + [
+        passage + " " + " ".join(f"w{rng.randrange(10**7)}" for _ in range(30)) for _ in range(20)
+    ]
+    got = result(J.jaccard_components(simple(spark, texts)))
+    assert got == expected(list(enumerate(texts)))
+    assert closed and not any(closed)
