@@ -4,6 +4,10 @@ The rows are groups of equal rows with a weight, as many as there are combinatio
 gradient and its Hessian in one aggregation by pairs of slots; what reaches the driver is the square of the number of
 slots, whatever the number of rows, and a system of a few dozen unknowns is solved there. The optimum is reached to
 rounding, so any other exact method gives the same coefficients.
+
+Where the slots of a feature add up to the intercept, and where all classes move alike, only the penalty counts, and rounding
+that grows with the rows would move the coefficients at every step. So the gradient is summed in decimals, and that of
+the last class is what the others leave, as the probabilities of a row add up to 1.
 """
 
 from __future__ import annotations
@@ -15,6 +19,8 @@ from pyspark.sql import functions as F
 MAX_STEPS = 50
 # Largest change of a coefficient in the last step.
 TOLERANCE = 1e-10
+# What the parts of the gradient are summed as.
+EXACT = "decimal(38,18)"
 
 
 def _scores(classes: int, weights: np.ndarray) -> list[Column]:
@@ -37,7 +43,9 @@ def _sums(rows: DataFrame, classes: int, weights: np.ndarray, slots: int) -> tup
     ).select("weight", "label", "p", "log_p", "i", F.explode("slots").alias("j"))
     p = [F.element_at("p", k + 1) for k in range(classes)]
     wanted = [F.sum(-F.col("weight") * F.col("log_p")).alias("loss")]
-    wanted += [F.sum(F.col("weight") * (p[k] - (F.col("label") == k).cast("int"))).alias(f"g{k}") for k in range(classes)]
+    off = [F.sum((F.col("weight") * (p[k] - (F.col("label") == k).cast("int"))).cast(EXACT)) for k in range(classes - 1)]
+    wanted += [total.cast("double").alias(f"g{k}") for k, total in enumerate(off)]
+    wanted.append(sum(off, F.lit(0).cast(EXACT)).cast("double").alias("g_others"))
     for k in range(classes):
         wanted += [F.sum(F.col("weight") * p[k] * (int(k == m) - p[m])).alias(f"h{k}_{m}") for m in range(classes)]
     loss, gradient = 0.0, np.zeros((classes, slots))
@@ -47,7 +55,8 @@ def _sums(rows: DataFrame, classes: int, weights: np.ndarray, slots: int) -> tup
         if i == j == 0:
             loss = r["loss"]
         if i == j:
-            gradient[:, i] = [r[f"g{k}"] for k in range(classes)]
+            gradient[:-1, i] = [r[f"g{k}"] for k in range(classes - 1)]
+            gradient[-1, i] = -r["g_others"]
         for k in range(classes):
             for m in range(classes):
                 hessian[k, i, m, j] = r[f"h{k}_{m}"]

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadtally.ml import frame
+from roadtally.ml.newton import newton
 from roadtally.ml.report import classification_report, confusion
 from roadtally.ml.scoring import describe, load_newest, newest_version, score
 from roadtally.ml.training import retrain, save, train, with_prediction
@@ -112,6 +113,17 @@ def test_fit_is_the_balanced_penalised_optimum(model, groups):
     assert np.abs(error.sum(axis=0)).max() < 0.05
 
 
+def test_many_rows_move_no_coefficient_by_rounding(spark):
+    """With hundreds of millions of rows the sums are rounded by more than the penalty's pull; the steps must still end."""
+    rng = np.random.default_rng(7)
+    slots = [(0, 1 + a, 5 + b, 7 + c) for a in range(4) for b in range(2) for c in range(12)]
+    weight = rng.uniform(1e5, 4e6, (len(slots), 3))
+    rows = [([int(i) for i in s], k, float(weight[at, k])) for at, s in enumerate(slots) for k in range(3)]
+    fitted = newton(spark.createDataFrame(rows, "slots array<int>, label int, weight double").coalesce(3), 3, 19)
+    for first, last in ((1, 5), (5, 7), (7, 19)):
+        assert np.abs(fitted[:, first:last].sum(axis=1)).max() < 1e-9  # only the penalty decides these sums
+
+
 def test_model_uses_the_signal(model):
     """Balanced weights aim at recall of every class: better than always naming one of three."""
     predicted = with_prediction(model.groups, model.pipeline, model.classes)
