@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from roadtally.operators.merge import drop_replays
 from roadtally.operators.rollups import CONDITIONS, GEO, HOTSPOTS, PROFILE, STAMP
+from roadtally.plans import catalog
 from roadtally.plans.serving import batch_recompute, recompute_all
 from roadtally.schemas import MESSAGE_SCHEMA
+from roadtally.sources import fixtures
 from roadtally.sources.envelope import decode, encode
 from roadtally.sources.files import read_extract
 from roadtally.streaming.jobs import (
@@ -180,3 +182,21 @@ def test_daily_windows_equal_day_keys(spark, sf_dir):
     windows = events.groupBy(F.window("ts", "1 day")).count().select(F.col("window.start").cast("date"), "count")
     days = events.groupBy(F.col("ts").cast("date")).count()
     assert {tuple(r) for r in windows.collect()} == {tuple(r) for r in days.collect()}
+
+
+def test_messages_sent_twice_lie_in_as_many_files_as_there_are_partitions(spark, sf_dir, monkeypatch):
+    """Files, and so tasks and micro-batches, do not grow with the input where the partitions do."""
+    sent = []
+    monkeypatch.setattr(catalog, "replay_files", lambda spark, path, files_per_trigger: sent.append((path, files_per_trigger)))
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        catalog._replayed(spark, sf_dir, "vehicles")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    rows = spark.read.parquet(sent[0][0])
+    assert len(rows.inputFiles()) > 8 and sent[0][1] == 4
+    counts = rows.groupBy("key", "value").agg(F.count("*").alias("n"), F.count_distinct("timestamp").alias("stamps"))
+    assert {r["n"] for r in counts.select("n").distinct().collect()} == {2}
+    assert {r["stamps"] for r in counts.select("stamps").distinct().collect()} == {1, 2}
+    assert counts.count() == fixtures.vehicles(spark, sf_dir).count()
