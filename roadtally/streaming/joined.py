@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from roadtally.operators.joins import join_pairs
 from roadtally.operators.rollups import DEMOGRAPHIC_KEYS, STAMP, RollupSpec
 from roadtally.schemas import KEY_COLUMN
+from roadtally.session import release_shuffles
 from roadtally.sources.envelope import decode
 from roadtally.streaming.jobs import COMPACT_EVERY, start, utc_now
 from roadtally.streaming.replays import SeenEvents
@@ -118,17 +119,15 @@ def start_demographics(
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         if compact_every and not joined.table.has(query_id, batch_id):
             joined.compact(compact_every)
-        batch = batch.persist()
-        try:
-            events = {s: decode(batch.where(F.col("side") == s), s, (KEY_COLUMN, *c)) for s, c in SIDES.items()}
-            if seen:
-                events = {s: seen[s].unseen(rows, query_id, batch_id).persist() for s, rows in events.items()}
-            joined.add(events, query_id, batch_id, stamp(batch_id))
-            for s in seen or ():
-                seen[s].store(events[s], query_id, batch_id)
-                events[s].unpersist()
-        finally:
-            batch.unpersist()
+        # Each side reads the batch anew and parses its own messages alone: their texts are by far too large to be kept.
+        events = {s: decode(batch.where(F.col("side") == s), s, (KEY_COLUMN, *c)) for s, c in SIDES.items()}
+        if seen:
+            events = {s: seen[s].unseen(rows, query_id, batch_id).persist() for s, rows in events.items()}
+        joined.add(events, query_id, batch_id, stamp(batch_id))
+        for s in seen or ():
+            seen[s].store(events[s], query_id, batch_id)
+            events[s].unpersist()
+        release_shuffles(batch.sparkSession)
 
     writer = tagged[0].unionByName(tagged[1]).writeStream.outputMode("append").foreachBatch(handle)
     return start(writer.option("checkpointLocation", checkpoint), available_now)

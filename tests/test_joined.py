@@ -103,3 +103,16 @@ def test_replayed_messages_count_once(spark, tmp_path):
         streams = [replay_files(spark, f"{tmp_path}/{side}", 1) for side in ("a", "v")]
         start_demographics(*streams, f"{tmp_path}/t", f"{tmp_path}/c", True, stamp=lambda _: day(), seen=seen).awaitTermination()
     assert rows(StreamedDemographics(spark, f"{tmp_path}/t").table.read()) == expected(spark)
+
+
+def test_texts_of_messages_are_not_kept(spark, tmp_path, monkeypatch):
+    """A micro-batch's messages are many times as large as the columns that are counted."""
+    messages(micro.vehicles(spark), "vehicles").coalesce(1).write.parquet(f"{tmp_path}/v")
+    messages(micro.accidents(spark), "accidents").coalesce(1).write.parquet(f"{tmp_path}/a")
+    frame, kept = type(spark.range(1)), []
+    persist = frame.persist
+    monkeypatch.setattr(frame, "persist", lambda self, *level: (kept.append(self.columns), persist(self, *level))[1])
+    sides = [replay_files(spark, f"{tmp_path}/{side}", 1) for side in ("a", "v")]
+    start_demographics(*sides, f"{tmp_path}/t", f"{tmp_path}/c", True, stamp=lambda _: day()).awaitTermination()
+    assert kept and not any("value" in columns for columns in kept)
+    assert rows(StreamedDemographics(spark, f"{tmp_path}/t").table.read()) == expected(spark)
